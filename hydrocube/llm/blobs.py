@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SHARD_BYTES = 8 << 20
+SHARD_BYTES, BUCKET_BYTES = 8 << 20, 1 << 30
 
 _DTYPES = (np.uint8, np.uint16, np.uint32, np.uint64)
 
@@ -62,10 +62,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def shard_count(df: DataFrame, text: str = "text", shard_bytes: int = SHARD_BYTES) -> int:
-    """Shards of about shard_bytes of text, and a few for each shuffle partition at least."""
-    total = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    return max(4 * shuffle_partitions(df.sparkSession), int(total // shard_bytes) + 1)
+def shard_count(df: DataFrame, text: str = "text", shard_bytes: int = SHARD_BYTES, bucket_bytes: int = BUCKET_BYTES) -> tuple[int, int]:
+    """(shards of documents, buckets of the hash space) for the text of df.
+
+    Every shard may send each bucket a cell, so shards grow with the square root
+    of the text and buckets cover more text than shards: cells stay well filled.
+    """
+    total, least = df.agg(F.sum(F.octet_length(text))).first()[0] or 0, shuffle_partitions(df.sparkSession)
+    return max(least, int(total // max(shard_bytes, 6.4 * total**0.5)) + 1), max(least, int(total // bucket_bytes) + 1)
 
 
 def shared_folder(spark: SparkSession) -> str:

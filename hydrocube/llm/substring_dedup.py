@@ -175,7 +175,7 @@ def remove_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text) of every document; kept words are joined by one space."""
     if width <= PERIOD:
         raise ValueError(f"width must be over {PERIOD}")
-    shards = buckets = shard_count(docs)
+    shards, buckets = shard_count(docs)
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
     by_shard = dealt.groupBy("shard")
 
