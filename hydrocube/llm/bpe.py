@@ -15,7 +15,6 @@ whole, whatever their length. Other columns are ignored.
 
 from __future__ import annotations
 
-import functools
 import json
 import unicodedata
 from array import array
@@ -31,6 +30,11 @@ from pyspark.sql import functions as F
 WHITE_SPACE = "".join(map(chr, (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 #: str.split() also parts words at these, which are no white space for the tokenizer.
 ODD_SPACE = regex.compile("[\x1c-\x1f]")
+#: Letters and numbers after Unicode 16, which are marks for the tokenizer, and its lower case of letters new in 16.
+NEWER = "".join(f"{chr(a)}-{chr(b)}" for a, b in (
+    (0x558, 0x558), (0x58b, 0x58c), (0x88f, 0x88f), (0xc5c, 0xc5c), (0xcdc, 0xcdc), (0x208f, 0x208f), (0x209d, 0x209f), (0xa7ce, 0xa7cf), (0xa7d2, 0xa7d2), (0xa7d4, 0xa7d4), (0xa7e2, 0xa7e2), (0xa7f1, 0xa7f1), (0xab6c, 0xab6d), (0x107bb, 0x107bf), (0x10940, 0x10959), (0x10ec5, 0x10ec7), (0x10ed9, 0x10eee), (0x11b0a, 0x11b0a), (0x11db0, 0x11ddb), (0x11de0, 0x11de9), (0x11df1, 0x11df1), (0x1246f, 0x1246f), (0x12475, 0x1247f), (0x12550, 0x12686), (0x16ea0, 0x16eb8), (0x16ebb, 0x16ed3), (0x16ff2, 0x16ff6), (0x187f8, 0x187ff), (0x18cd6, 0x18cda), (0x18d09, 0x18d20), (0x18d80, 0x18df2), (0x18e00, 0x19191), (0x191a0, 0x191d2), (0x1b123, 0x1b128), (0x1b168, 0x1b168), (0x1d6a6, 0x1d6a6), (0x1df1f, 0x1df24), (0x1df2b, 0x1df81), (0x1df90, 0x1df96), (0x1dfcd, 0x1dfff), (0x1e6c0, 0x1e6de), (0x1e6e0, 0x1e6e2), (0x1e6e4, 0x1e6e5), (0x1e6e7, 0x1e6ed), (0x1e6f0, 0x1e6f4), (0x1e6fe, 0x1e6ff), (0x2b73a, 0x2b73f), (0x2b81e, 0x2b81e), (0x2cea2, 0x2cead), (0x323b0, 0x33479), (0x3d000, 0x3fc3f),
+))
+LOWER_16 = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B} | {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {0x3A3: 0x3C3}
 KEPT_FRAGMENTS = 200_000
 ROWS_OUT = 256
 
@@ -46,19 +50,6 @@ def byte_symbols() -> list[str]:
     return [out[b] for b in range(256)]
 
 
-@functools.cache
-def newer_letters() -> str:
-    """Letters and numbers that only the regex module's Unicode version has: the tokenizer takes them for marks."""
-    spans: list[list[int]] = []
-    for c in range(0x250, 0x110000):
-        if unicodedata.category(chr(c)) == "Cn" and regex.match(r"[\p{L}\p{N}]", chr(c)):
-            if spans and spans[-1][1] == c - 1:
-                spans[-1][1] = c
-            else:
-                spans.append([c, c])
-    return "".join(f"{chr(a)}-{chr(b)}" for a, b in spans) or chr(0x10FFFF)
-
-
 class Encoder:
     """Encodes and decodes by one vocabulary file of the tokenizers library."""
 
@@ -75,7 +66,7 @@ class Encoder:
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.ascii_piece = regex.compile(split)
         for name in (r"\p{L}", r"\p{N}"):
-            split = split.replace(name, f"[{name}--[{newer_letters()}]]")
+            split = split.replace(name, f"[{name}--[{NEWER}]]")
         self.piece = regex.compile(split.replace(r"\s", WHITE_SPACE), regex.VERSION1)
         self.gap = regex.compile(f"[{WHITE_SPACE}]+")
         self.symbols = byte_symbols()
@@ -117,7 +108,7 @@ class Encoder:
     def word(self, word: str) -> bytes:
         """Ids of a run without white space, as little-endian 32-bit integers."""
         ids = array("I")
-        text = unicodedata.normalize("NFC", word).replace(chr(0x3A3), chr(0x3C3)).lower()
+        text = unicodedata.normalize("NFC", word).translate(LOWER_16).lower()
         for piece in (self.ascii_piece if text.isascii() else self.piece).findall(text):
             symbols = [self.symbols[b] for b in piece.encode()]
             symbols[-1] += self.suffix
