@@ -194,6 +194,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         at = of.join(mixed, "key").join(sig.withColumnRenamed("id", "rep"), "rep").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
         one = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.col("block").alias("p"), F.col("other").alias("q"), "rep", "comp", "sig")
         two = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.col("other").alias("p"), F.col("block").alias("q"), "rep", "comp", "sig").where("p != q")
+        two = two.toDF(*two.columns)  # columns of its own, for the cogroup
         pairs = one.where("p = q").groupBy("key", "p", "q").applyInArrow(lambda key, table: _across(key, table), PAIRS)
         if members.where(F.col("n") > BLOCK).limit(1).count():
             sides = one.where("p != q").groupBy("key", "p", "q").cogroup(two.groupBy("key", "p", "q")).applyInArrow(lambda key, left, right: _across(key, left, right), PAIRS)
