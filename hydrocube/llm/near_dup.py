@@ -5,21 +5,23 @@ their sets' Jaccard similarity is 0.75 or more, confirmed on the full sets.
 
 * Documents with equal sets are one class from the start; only the class's
   smallest doc_id goes on.
-* A signature has 144 min-hash values. Three of them make a coordinate, 48 in
-  all, so that a coordinate's list holds pairs of similarity s with chance s^3
-  and a passage that many texts share does not fill it with unrelated ones.
-  Each class is posted under its coordinate-value pairs. Pairs that link share
-  at least 4 of 48 coordinates but for a chance of 3e-8, so the first 45 are
-  the whole prefix to post: a pair with 4 in common has one among them.
+* A signature has 240 min-hash values. Three of the first 144 make a
+  coordinate, 48 in all, so that a coordinate's list holds pairs of similarity s
+  with chance s^3 and a passage that many texts share does not fill it with
+  unrelated ones. Each class is posted under its coordinate-value pairs. Pairs
+  that link share at least 4 of 48 coordinates but for a chance of 3e-8, so the
+  first 45 are the whole prefix to post: a pair with 4 in common has one among
+  them.
 * Collisions are counted over the lists of the prefix. First each class is
   paired with one hub, the smallest member of the lists that they share most:
   no list emits its pairs. Verified links give components. Lists whose members
   are then of one component are skipped; in the others only pairs of different
   components are merged, over blocks of bounded size, at their first common
-  coordinate. Pairs under the match threshold, 75 of the 144 values (a chance
-  of 1e-9 at similarity 0.75), go; the rest are tested on the full sets, the
-  most alike of each two components first, 16 times as many each round, until
-  no untested pair of different components is left. No partner is capped.
+  coordinate. Pairs under the match threshold, 143 of the 240 values (a chance
+  of 2e-8 at similarity 0.75), or whose set sizes rule the similarity out, go;
+  the rest are tested on the full sets, the most alike of each two components
+  first, 16 times as many each round, until no untested pair of different
+  components is left. No partner is capped.
 
 Defined cases: a null or empty text has no shingle and is its own component;
 fewer words than 5 are one shingle; rows that share a doc_id are one node, whose
@@ -38,10 +40,9 @@ from .blobs import written
 from .components import components
 from .textkit import Chunk, chunks, mix
 
-WORDS, VALUES, FOLD, SHARED, ALIKE, BLOCK = 5, 144, 3, 4, 75, 1024
-COORDINATES = VALUES // FOLD
+WORDS, VALUES, FOLD, COORDINATES, SHARED, ALIKE, BLOCK = 5, 240, 3, 48, 4, 143, 1024
 PREFIX = COORDINATES - SHARED + 1
-PAIRS = "a long, b long, comp_a long, comp_b long, alike long"
+PAIRS = "a long, b long, alike long"
 _RANDOM = np.random.default_rng(7)
 _A = _RANDOM.integers(0, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RANDOM.integers(0, 1 << 63, VALUES, dtype=np.uint64)
@@ -84,7 +85,7 @@ def signatures(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def coordinates(sig: np.ndarray) -> np.ndarray:
     """Keys (coordinate number and folded value) of each signature's coordinates."""
-    parts = sig.reshape(len(sig), COORDINATES, FOLD).astype(np.uint64)
+    parts = sig[:, : COORDINATES * FOLD].reshape(len(sig), COORDINATES, FOLD).astype(np.uint64)
     folded = mix((parts[:, :, 0] << np.uint64(32)) | (parts[:, :, 1] << np.uint64(16)) | parts[:, :, 2]) >> np.uint64(8)
     return (folded | (np.arange(COORDINATES, dtype=np.uint64) << np.uint64(56))).view(np.int64)
 
@@ -143,21 +144,78 @@ def _linked(batches):
 
 
 def _across(key, left, right=None):
-    """Pairs of one block pair of a list that lie in different components, match well and first meet in this list."""
+    """Pairs of one block pair of a list that lie in different components, pass the threshold and first meet in this list."""
     a, b = left, right if right is not None else left
     out: list[tuple] = []
     if a.num_rows and b.num_rows:
         sig_a, sig_b = _sigs(a.column("sig")), _sigs(b.column("sig"))
         key_a, key_b = coordinates(sig_a)[:, :PREFIX], coordinates(sig_b)[:, :PREFIX]
-        rep_a, rep_b = (t.column("rep").to_numpy() for t in (a, b))
-        comp_a, comp_b = (t.column("comp").to_numpy() for t in (a, b))
-        here = int(np.uint64(np.int64(key[0].as_py()).view(np.uint64) >> np.uint64(56)))
+        (rep_a, rep_b), (comp_a, comp_b), (n_a, n_b) = ([t.column(c).to_numpy() for t in (a, b)] for c in ("rep", "comp", "size"))
+        here = int(np.int64(key[0].as_py()).view(np.uint64) >> np.uint64(56))
         for k in range(len(rep_a)):
-            alike = (sig_b == sig_a[k]).sum(axis=1)
-            first = (key_b == key_a[k]).argmax(axis=1) == here
-            for j in np.flatnonzero((alike >= ALIKE) & first & (comp_b != comp_a[k]) & (rep_b > rep_a[k])):
-                out.append((rep_a[k], rep_b[j], min(comp_a[k], comp_b[j]), max(comp_a[k], comp_b[j]), alike[j]))
-    return pa.table({n: pa.array([r[k] for r in out], pa.int64()) for k, n in enumerate(("a", "b", "comp_a", "comp_b", "alike"))})
+            some = np.flatnonzero((rep_b > rep_a[k]) & (comp_b != comp_a[k]) & (4 * np.minimum(n_b, n_a[k]) >= 3 * np.maximum(n_b, n_a[k])))
+            alike = (sig_b[some] == sig_a[k]).sum(axis=1)
+            some, alike = some[alike >= ALIKE], alike[alike >= ALIKE]
+            first = (key_b[some] == key_a[k]).argmax(axis=1) == here
+            out += [(rep_a[k], rep_b[j], n) for j, n in zip(some[first], alike[first])]
+    return pa.table({n: pa.array([int(r[k]) for r in out], pa.int64()) for k, n in enumerate(("a", "b", "alike"))})
+
+
+def _alike(batches):
+    for batch in batches:
+        if batch.num_rows:
+            size_a, size_b = (batch.column(c).to_numpy() for c in ("size_a", "size_b"))
+            same = (_sigs(batch.column("sig_a")) == _sigs(batch.column("sig_b"))).sum(axis=1) >= ALIKE
+            same = pa.array(same & (4 * np.minimum(size_a, size_b) >= 3 * np.maximum(size_a, size_b)))
+            yield pa.RecordBatch.from_pydict({"a": batch.column("a").filter(same), "b": batch.column("b").filter(same)})
+
+
+class _Tests:
+    """Full sets of the documents asked for so far, and the pairs tested on them."""
+
+    def __init__(self, texts: DataFrame):
+        self.texts, self.known, self.sets, self.tested = texts, None, None, None
+
+    def run(self, pairs: DataFrame) -> DataFrame:
+        """Tests pairs (a, b); gives all links found so far."""
+        new = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        new = written(new.join(self.known, "doc_id", "left_anti") if self.known is not None else new)
+        # of rows that share a doc_id one set is tested
+        found = written(self.texts.join(new, "doc_id").mapInArrow(_sets, "doc_id long, found binary").groupBy("doc_id").agg(F.min("found").alias("found")))
+        self.known, self.sets = (new, found) if self.known is None else (self.known.union(new), self.sets.unionByName(found))
+        side = lambda x: self.sets.select(F.col("doc_id").alias(x), F.col("found").alias(f"set_{x}"))
+        now = written(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInArrow(_linked, "a long, b long, linked boolean"))
+        self.tested = now if self.tested is None else self.tested.unionByName(now)
+        return self.tested.where("linked")
+
+
+def _hub_pairs(members: DataFrame, reps: DataFrame) -> DataFrame:
+    """Each class with the hub of the lists that they share most, if they are alike."""
+    hubs = members.where("rep != hub").groupBy("rep", "hub").count().groupBy("rep").agg(F.max(F.struct("count", -F.col("hub"))).alias("best"))
+    pairs = hubs.select((-F.col("best.col2")).alias("a"), F.col("rep").alias("b"))
+    for x in ("a", "b"):
+        pairs = pairs.join(reps.select(F.col("rep").alias(x), F.col("sig").alias(f"sig_{x}"), F.col("size").alias(f"size_{x}")), x)
+    return pairs.mapInArrow(_alike, "a long, b long")
+
+
+def _cross_pairs(members: DataFrame, reps: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b, alike): the candidate pairs between components, each from its first common list."""
+    of = members.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("comp"))
+    mixed = of.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least != most").select("key")
+    at = of.join(mixed, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    at = at.join(reps.select("rep", "sig", "size"), "rep")
+    each = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    held = ["rep", "comp", "sig", "size"]
+    one = each.where("block <= other").select("key", F.col("block").alias("p"), F.col("other").alias("q"), *held)
+    pairs = one.where("p = q").groupBy("key", "p", "q").applyInArrow(lambda key, table: _across(key, table), PAIRS)
+    if members.where(F.col("n") > BLOCK).limit(1).count():
+        # of blocks p < q: pairs either way round, as _across takes the smaller rep from its left
+        for low, high in (("p", "q"), ("q", "p")):
+            left = each.where("block < other" if low == "p" else "block > other").select("key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), *held).toDF("key", "p", "q", *held)
+            right = each.where("block > other" if low == "p" else "block < other").select("key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), *held)
+            right = right.toDF(*(f"{c}_" for c in right.columns)).toDF("key", "p", "q", *held)
+            pairs = pairs.unionByName(left.groupBy("key", "p", "q").cogroup(right.groupBy("key", "p", "q")).applyInArrow(lambda key, left, right: _across(key, left, right), PAIRS))
+    return pairs
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -165,54 +223,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     all_docs = written(texts.mapInArrow(_describe, "doc_id long, n_shingles long, s1 long, s2 long, sig binary"))
     filled = all_docs.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    reps = written(filled.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")).groupBy("rep").agg(F.min(F.struct("s1", "s2", "sig")).alias("x")).select("rep", "x.*"))
+    classes = filled.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("n_shingles").alias("size"))
+    reps = written(classes.groupBy("rep").agg(F.min(F.struct("s1", "s2", "sig", "size")).alias("x")).select("rep", "x.*"))
     posted = reps.select("rep", "sig").mapInArrow(_post, "key long, rep long")
     lists = posted.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("hub")).where("n > 1")
     members = written(posted.join(lists, "key"))
-    hubs = members.where("rep != hub").groupBy("rep", "hub").count().groupBy("rep").agg(F.max(F.struct("count", -F.col("hub"))).alias("best"))
-    sig = reps.select(F.col("rep").alias("id"), "sig")
-    pairs = hubs.select((-F.col("best.col2")).alias("a"), F.col("rep").alias("b"))
-    pairs = pairs.join(sig.withColumnsRenamed({"id": "a", "sig": "sig_a"}), "a").join(sig.withColumnsRenamed({"id": "b", "sig": "sig_b"}), "b")
-    pairs = written(pairs.mapInArrow(_alike, "a long, b long"))
-    known, tested, links, batch = None, None, None, 1
+    tests = _Tests(texts)
+    links = tests.run(written(_hub_pairs(members, reps)))
+    labels, most = components(links), 1
+    candidates = written(_cross_pairs(members, reps, labels))
     while True:
-        new = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        new = written(new.join(known, "doc_id", "left_anti") if known is not None else new)
-        # of rows that share a doc_id, the one that stands for it in reps
-        found = texts.join(new, "doc_id").mapInArrow(_sets, "doc_id long, found binary").groupBy("doc_id").agg(F.min("found").alias("found"))
-        found = written(found)
-        sets = found if known is None else known_sets.unionByName(found)
-        known, known_sets = (new if known is None else known.union(new)), sets
-        asked = pairs.join(sets.withColumnsRenamed({"doc_id": "a", "found": "set_a"}), "a").join(sets.withColumnsRenamed({"doc_id": "b", "found": "set_b"}), "b")
-        now = written(asked.mapInArrow(_linked, "a long, b long, linked boolean"))
-        tested = now if tested is None else tested.unionByName(now)
-        links = tested.where("linked")
-        labels = components(links)
-        of = members.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("comp"))
-        mixed = of.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least != most").select("key")
-        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-        at = of.join(mixed, "key").join(sig.withColumnRenamed("id", "rep"), "rep").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-        one = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.col("block").alias("p"), F.col("other").alias("q"), "rep", "comp", "sig")
-        two = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.col("other").alias("p"), F.col("block").alias("q"), "rep", "comp", "sig").where("p != q")
-        two = two.toDF(*two.columns)  # columns of its own, for the cogroup
-        pairs = one.where("p = q").groupBy("key", "p", "q").applyInArrow(lambda key, table: _across(key, table), PAIRS)
-        if members.where(F.col("n") > BLOCK).limit(1).count():
-            sides = one.where("p != q").groupBy("key", "p", "q").cogroup(two.groupBy("key", "p", "q")).applyInArrow(lambda key, left, right: _across(key, left, right), PAIRS)
-            pairs = pairs.unionByName(sides)
-        pairs = written(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"))
+        comp = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"comp_{x}"))
+        apart = candidates.join(tests.tested.select("a", "b"), ["a", "b"], "left_anti").join(comp("a"), "a", "left").join(comp("b"), "b", "left")
+        apart = apart.select("a", "b", "alike", F.coalesce("comp_a", "a").alias("ca"), F.coalesce("comp_b", "b").alias("cb")).where("ca != cb")
+        order = Window.partitionBy(F.least("ca", "cb"), F.greatest("ca", "cb")).orderBy(F.desc("alike"), "a", "b")
+        pairs = written(apart.withColumn("r", F.row_number().over(order)).where(F.col("r") <= most).select("a", "b"))
         if pairs.limit(1).count() == 0:
             break
-        batch *= 16
-        order = Window.partitionBy("comp_a", "comp_b").orderBy(F.desc("alike"), "a", "b")
-        pairs = written(pairs.withColumn("r", F.row_number().over(order)).where(F.col("r") <= batch).select("a", "b"))
+        links, most = tests.run(pairs), most * 16
+        labels = components(links)
     group = reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("s1", "s2", F.coalesce("component", "rep").alias("component_id"))
     by_id = filled.join(group, ["s1", "s2"]).groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     out = all_docs.join(by_id, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-
-
-def _alike(batches):
-    for batch in batches:
-        if batch.num_rows:
-            same = (_sigs(batch.column("sig_a")) == _sigs(batch.column("sig_b"))).sum(axis=1) >= ALIKE
-            yield pa.RecordBatch.from_pydict({"a": batch.column("a").filter(pa.array(same)), "b": batch.column("b").filter(pa.array(same))})
