@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, near_dup, quality, secrets, substring_dedup, topk
+from . import bpe, decontaminate, lm_score, near_dup, quality, secrets, substring_dedup, token_count, topk, toxicity
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -33,11 +33,25 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return lm_score.score(docs, *lm_score.fit(docs))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeats(_read(spark, sf_dir, "documents"), width=20)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(_read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.grade(docs, toxicity.fit(docs, _read(spark, sf_dir, "labels")))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.find_overlap(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     return out.select(
@@ -63,7 +77,10 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_secret_scan": op2_secret_scan,
+    "op3_lm_score": op3_lm_score,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_token_count": op5_token_count,
+    "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
     "op8_quality": op8_quality,
     "op9_near_dup": op9_near_dup,

@@ -73,7 +73,7 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Chunk:
     """Texts first .. last - 1 of a batch: word bounds, counts and hashes."""
 
-    def __init__(self, data: np.ndarray, off: np.ndarray, first: int, last: int, lower: bool):
+    def __init__(self, data: np.ndarray, off: np.ndarray, first: int, last: int, lower: bool, gap: np.ndarray = SPACE):
         lengths = np.diff(off[first : last + 1])
         total = int(lengths.sum()) + (last - first)
         buf = np.full(total, 0x20, np.uint8)
@@ -84,8 +84,7 @@ class Chunk:
         if lower:
             buf = LOWER_AZ[buf]
         self.buf, self.lengths, self.first, self.last = buf, lengths, first, last
-        gap = SPACE[buf]
-        edge = np.flatnonzero(np.diff(np.concatenate(([True], gap))))
+        edge = np.flatnonzero(np.diff(np.concatenate(([True], gap[buf]))))
         self.word_start, self.word_end = edge[0::2], edge[1::2]
         self.word_doc_end = np.searchsorted(self.word_start, self.starts + lengths)
         self.n_words = np.diff(np.concatenate(([0], self.word_doc_end)))
@@ -114,12 +113,12 @@ class Chunk:
         return np.repeat(np.arange(self.last - self.first), self.n_words)
 
 
-def chunks(column: pa.Array, lower: bool = False, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
+def chunks(column: pa.Array, lower: bool = False, limit: int = CHUNK_BYTES, gap: np.ndarray = SPACE) -> Iterator[Chunk]:
     """Chunks of about limit bytes; one longer text is a chunk of its own."""
     data, off = text_buffers(column)
     n, first = len(off) - 1, 0
     while first < n:
         last = max(first + 1, int(np.searchsorted(off, off[first] + limit, "right")) - 1)
         last = min(last, n)
-        yield Chunk(data, off, first, last, lower)
+        yield Chunk(data, off, first, last, lower, gap)
         first = last
