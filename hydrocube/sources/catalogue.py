@@ -5,6 +5,8 @@ from __future__ import annotations
 import base64
 import json
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,9 +87,6 @@ def xml_years(xml: Column) -> Column:
 
 def box_of_wkb(wkb: Column) -> Column:
     """(west, south, east, north) of a WKB polygon or multipolygon in either byte order, without a geometry library."""
-    import numpy as np
-    import pandas as pd
-
     def bounds(data: bytes | None):
         if data is None:
             return None
