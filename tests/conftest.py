@@ -6,7 +6,7 @@ import sys
 import pytest
 
 HERE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, HERE)
+sys.path[:0] = [HERE, os.path.join(HERE, "tests", "llm")]
 os.environ["PYTHONPATH"] = HERE + os.pathsep + os.environ.get("PYTHONPATH", "")
 
 
