@@ -19,8 +19,8 @@ their sets' Jaccard similarity is 0.75 or more, confirmed on the full sets.
   components are merged, over blocks of bounded size, at their first common
   coordinate. Pairs under the match threshold, 143 of the 240 values (a chance
   of 2e-8 at similarity 0.75), or whose set sizes rule the similarity out, go;
-  the rest are tested on the full sets, the most alike of each two components
-  first, 16 times as many each round, until no untested pair of different
+  the rest are tested on the full sets, the 64 most alike of each two components
+  first, 64 times as many each round, until no untested pair of different
   components is left. No partner is capped.
 
 Defined cases: a null or empty text has no shingle and is its own component;
@@ -40,7 +40,7 @@ from .blobs import written
 from .components import components
 from .textkit import Chunk, chunks, mix
 
-WORDS, VALUES, FOLD, COORDINATES, SHARED, ALIKE, BLOCK = 5, 240, 3, 48, 4, 143, 1024
+WORDS, VALUES, FOLD, COORDINATES, SHARED, ALIKE, BLOCK, TESTS = 5, 240, 3, 48, 4, 143, 1024, 64
 PREFIX = COORDINATES - SHARED + 1
 PAIRS = "a long, b long, alike long"
 _RANDOM = np.random.default_rng(7)
@@ -202,18 +202,22 @@ def _cross_pairs(members: DataFrame, reps: DataFrame, labels: DataFrame) -> Data
     """(a, b, alike): the candidate pairs between components, each from its first common list."""
     of = members.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("comp"))
     mixed = of.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least != most").select("key")
-    at = of.join(mixed, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    at = at.join(reps.select("rep", "sig", "size"), "rep")
-    each = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    held = ["rep", "comp", "sig", "size"]
-    one = each.where("block <= other").select("key", F.col("block").alias("p"), F.col("other").alias("q"), *held)
-    pairs = one.where("p = q").groupBy("key", "p", "q").applyInArrow(lambda key, table: _across(key, table), PAIRS)
-    if members.where(F.col("n") > BLOCK).limit(1).count():
-        # of blocks p < q: pairs either way round, as _across takes the smaller rep from its left
-        for low, high in (("p", "q"), ("q", "p")):
-            left = each.where("block < other" if low == "p" else "block > other").select("key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), *held).toDF("key", "p", "q", *held)
-            right = each.where("block > other" if low == "p" else "block < other").select("key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), *held)
-            right = right.toDF(*(f"{c}_" for c in right.columns)).toDF("key", "p", "q", *held)
+    at = of.join(mixed, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    held, described = ["rep", "comp", "sig", "size"], reps.select("rep", "sig", "size")
+    # lists of one block, then the blocks of longer lists; each member is joined with its signature once
+    small = at.where("blocks = 1").join(described, "rep").select("key", *held)
+    pairs = small.groupBy("key").applyInArrow(lambda key, table: _across(key, table), PAIRS)
+    long = at.where("blocks > 1")
+    if long.limit(1).count():
+        long = written(long.join(described, "rep").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")))
+        each = long.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        ends = [F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q")]
+        inside = each.where("block = other").select("key", *ends, *held)
+        pairs = pairs.unionByName(inside.groupBy("key", "p", "q").applyInArrow(lambda key, table: _across(key, table), PAIRS))
+        # pairs of two blocks either way round, as _across takes the smaller rep from its left
+        low, high = (each.where(f"block {sign} other").select("key", *ends, *held) for sign in "<>")
+        for left, right in ((low, high), (high, low)):
+            right = right.toDF(*(f"{c}_" for c in right.columns)).toDF(*right.columns)  # columns of its own, for the cogroup
             pairs = pairs.unionByName(left.groupBy("key", "p", "q").cogroup(right.groupBy("key", "p", "q")).applyInArrow(lambda key, left, right: _across(key, left, right), PAIRS))
     return pairs
 
@@ -230,7 +234,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = written(posted.join(lists, "key"))
     tests = _Tests(texts)
     links = tests.run(written(_hub_pairs(members, reps)))
-    labels, most = components(links), 1
+    labels, most = components(links), TESTS
     candidates = written(_cross_pairs(members, reps, labels))
     while True:
         comp = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"comp_{x}"))
@@ -240,7 +244,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         pairs = written(apart.withColumn("r", F.row_number().over(order)).where(F.col("r") <= most).select("a", "b"))
         if pairs.limit(1).count() == 0:
             break
-        links, most = tests.run(pairs), most * 16
+        links, most = tests.run(pairs), most * TESTS
         labels = components(links)
     group = reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("s1", "s2", F.coalesce("component", "rep").alias("component_id"))
     by_id = filled.join(group, ["s1", "s2"]).groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
