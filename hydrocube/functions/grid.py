@@ -99,7 +99,7 @@ def native_windows(length: int, size: int, factor: int, phase: int = 0) -> list[
         raise ValueError(f"factor must be positive, got {factor}")
     if size <= 0 or size % factor:
         raise ValueError(f"size {size} must be a positive multiple of factor {factor}")
-    first = -(-(phase % factor)) and (phase % factor) - factor
+    first = phase % factor - factor if phase % factor else 0
     end = length + (first - length) % factor
     return [(s, min(s + size, end)) for s in range(first, end, size)] if length > 0 else []
 

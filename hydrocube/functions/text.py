@@ -13,7 +13,7 @@ EPOCH = date(2020, 1, 1)
 
 def tile_of_name(name: Column) -> tuple[Column, Column]:
     """(h, v) of a file name with .hNNvNN. in it."""
-    part = lambda k: F.expr("NULL").cast("int") if k is None else F.regexp_extract(name, r"\.h(\d{2})v(\d{2})\.", k)
+    part = lambda k: F.regexp_extract(name, r"\.h(\d{2})v(\d{2})\.", k)
     number = lambda k: F.when(part(k) != "", part(k).cast("int"))
     return number(1), number(2)
 
