@@ -8,9 +8,8 @@ symbols of their own; all others are dealt to bucket symbols by hash, and such a
 word's log-probability also has that of one word among the bucket's distinct
 ones, counted over the whole corpus.
 
-The network is trained in numpy on windows at a fixed share of all positions:
-each partition makes a pass over its own from the same start, and the parameters
-are averaged, weighted by windows, in groups until one is left. So what is
+The network is trained in numpy on the windows of all positions: each partition
+makes a pass over its own from the same start, and the parameters are averaged, weighted by windows, in groups until one is left. So what is
 gathered grows with the corpus, and nothing is gathered in one place but the
 parameters, whose size is fixed.
 
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .textkit import Chunk, chunks, mix
 
-COMMON, CLUSTERS, MEMBERS, WIDTH, SHARE, GROUP = 1024, 32, 64, 16, 64, 32
+COMMON, CLUSTERS, MEMBERS, WIDTH, SHARE, GROUP = 1024, 32, 64, 16, 1, 32
 SYMBOLS = CLUSTERS * MEMBERS
 BUCKETS = SYMBOLS - COMMON
 EDGE = SYMBOLS
@@ -48,7 +47,7 @@ class Network:
 
     def hidden(self, near: np.ndarray) -> np.ndarray:
         """near: the symbols on each side, one row for each token."""
-        return np.tanh(sum(self.embed[k][near[:, k]] for k in range(len(SIDES))) + self.bias)
+        return np.tanh(sum(self.embed[k].take(near[:, k], axis=0) for k in range(len(SIDES))) + self.bias)
 
     def log_probability(self, near: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         h, cluster, member = self.hidden(near), symbol // MEMBERS, symbol % MEMBERS
@@ -64,28 +63,48 @@ class Network:
     def train(self, near: np.ndarray, symbol: np.ndarray, rate: float = 0.15, size: int = 512) -> None:
         """One pass of gradient steps."""
         order = np.random.default_rng(len(symbol)).permutation(len(symbol))
+        sides = np.arange(len(SIDES)) * (SYMBOLS + 1)
+        embed = self.embed.reshape(-1, WIDTH)
         for at in range(0, len(order), size):
             pick = order[at : at + size]
+            pick = pick[np.argsort((symbol[pick] // MEMBERS).astype(np.int16), kind="stable")]
             n, s = near[pick], symbol[pick]
             h, cluster, member = self.hidden(n), s // MEMBERS, s % MEMBERS
+            each = np.arange(len(s))
             d_top = -_softmax(h @ self.top + self.top_bias)
-            d_top[np.arange(len(s)), cluster] += 1
-            d_low = -_softmax(np.einsum("nw,nwm->nm", h, self.low[cluster]) + self.low_bias[cluster])
-            d_low[np.arange(len(s)), member] += 1
-            d_h = (d_top @ self.top.T + np.einsum("nm,nwm->nw", d_low, self.low[cluster])) * (1 - h**2)
-            step = rate / max(len(s), 1) ** 0.5
+            d_top[each, cluster] += 1
+            # rows of one cluster stand together
+            first = np.flatnonzero(np.diff(cluster, prepend=-1))
+            groups = [(c, slice(x, y)) for c, x, y in zip(cluster[first].tolist(), first.tolist(), [*first[1:].tolist(), len(s)])]
+            d_low, below = np.empty((len(s), MEMBERS), np.float32), np.empty_like(h)
+            for c, rows in groups:
+                np.matmul(h[rows], self.low[c], out=d_low[rows])
+            d_low = -_softmax(d_low + self.low_bias[cluster])
+            d_low[each, member] += 1
+            step = np.float32(rate / max(len(s), 1) ** 0.5)
+            turned = (step * h).T
+            for c, rows in groups:
+                low, d = self.low[c], d_low[rows]
+                np.matmul(d, low.T, out=below[rows])
+                low += turned[:, rows] @ d
+            d_h = d_top @ self.top.T + below
+            self.low_bias[cluster[first]] += step * np.add.reduceat(d_low, first)
+            d_h *= 1 - h**2
             self.top += step * (h.T @ d_top)
             self.top_bias += step * d_top.sum(axis=0)
-            np.add.at(self.low, cluster, step * h[:, :, None] * d_low[:, None, :])
-            np.add.at(self.low_bias, cluster, step * d_low)
-            for k in range(len(SIDES)):
-                np.add.at(self.embed[k], n[:, k], step * d_h)
+            place = (n + sides).ravel()
+            by = np.argsort(place.astype(np.int16), kind="stable")
+            place = place[by]
+            first = np.flatnonzero(np.diff(place, prepend=-1))
+            embed[place[first]] += step * np.add.reduceat(d_h.take(by // len(SIDES), axis=0), first)
             self.bias += step * d_h.sum(axis=0)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    e = np.exp(x - x.max(axis=1, keepdims=True))
-    return e / e.sum(axis=1, keepdims=True)
+    e = x - x.max(axis=1, keepdims=True)
+    np.exp(e, out=e)
+    e /= e.sum(axis=1, keepdims=True)
+    return e
 
 
 def _log_softmax(x: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -148,18 +167,18 @@ def fit(docs: DataFrame, share: int = SHARE) -> tuple[Network, Vocabulary]:
     shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def train(batches):
-        net, seen, place = Network(), 0, 0
+        net, seen = Network(), 0
         for batch in batches:
-            near, symbol = [], []
             for c in chunks(batch.column("text"), lower=True):
                 h = c.word_hashes()
-                s = shared.value.symbols(h)
-                pick = mix(h + np.arange(len(h), dtype=np.uint64)) % np.uint64(share) == 0
-                near.append(windows(c, s)[pick]), symbol.append(s[pick])
-            near, symbol = np.concatenate(near or [np.zeros((0, 4), int)]), np.concatenate(symbol or [np.zeros(0, int)])
-            if len(symbol):
-                net.train(near, symbol)
-                seen += len(symbol)
+                symbol = shared.value.symbols(h)
+                near = windows(c, symbol)
+                if share > 1:
+                    pick = mix(h + np.arange(len(h), dtype=np.uint64)) % np.uint64(share) == 0
+                    near, symbol = near[pick], symbol[pick]
+                if len(symbol):
+                    net.train(near, symbol)
+                    seen += len(symbol)
         if seen:
             yield pa.RecordBatch.from_pydict({"seen": pa.array([seen], pa.int64()), "flat": pa.array([net.flat.tobytes()], pa.binary())})
 

@@ -340,6 +340,17 @@ def test_lm_scores(spark):
     assert lm_score.score(empty(spark), *lm_score.fit(empty(spark))).count() == 0
 
 
+def test_lm_default_trains_on_all_windows(spark):
+    rng = random.Random(4)
+    docs = frame(spark, [(k, " ".join(rng.choices([f"t{j}" for j in range(40)], k=60))) for k in range(50)]).coalesce(1).cache()
+    network, words = lm_score.fit(docs)
+    whole = lm_score.Network()
+    for c in chunks(pa.array([r.text for r in docs.collect()]), lower=True):
+        symbols = words.symbols(c.word_hashes())
+        whole.train(lm_score.windows(c, symbols), symbols)
+    assert len(symbols) == 3000 and np.allclose(network.flat, whole.flat, atol=1e-5)
+
+
 def test_chunks_find_the_words_of_each_text():
     rows = ["", None, "a  b\tc\n", "é x y", "z" * 3000, " q "]
     for limit in (1, 100, 1 << 20):
