@@ -73,6 +73,17 @@ def shingle_sets(c: Chunk, width: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     return h[new], np.bincount(d[new], minlength=len(n))
 
 
+def set_hashes(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each set, 0 for an empty one."""
+    filled = sizes > 0
+    starts = (np.cumsum(sizes) - sizes)[filled]
+    one, two = np.zeros(len(sizes), np.uint64), np.zeros(len(sizes), np.uint64)
+    if len(starts):
+        one[filled] = np.add.reduceat(mix(hashes ^ np.uint64(0x1234567)), starts)
+        two[filled] = np.add.reduceat(mix(hashes + np.uint64(0x7654321)), starts)
+    return one, two
+
+
 def signatures(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The low 16 bits of VALUES minima for each non-empty set."""
     starts = (np.cumsum(sizes) - sizes)[sizes > 0]
@@ -97,11 +108,7 @@ def _describe(batches):
             hashes, sizes = shingle_sets(c)
             filled = sizes > 0
             sig = signatures(hashes, sizes)
-            starts = (np.cumsum(sizes) - sizes)[filled]
-            one, two = np.zeros(len(sizes), np.uint64), np.zeros(len(sizes), np.uint64)
-            if len(starts):
-                one[filled] = np.add.reduceat(mix(hashes ^ np.uint64(0x1234567)), starts)
-                two[filled] = np.add.reduceat(mix(hashes + np.uint64(0x7654321)), starts)
+            one, two = set_hashes(hashes, sizes)
             blobs: list = [None] * len(sizes)
             for k, s in zip(np.flatnonzero(filled), sig):
                 blobs[k] = s.tobytes()
@@ -127,10 +134,10 @@ def _sets(batches):
         at = 0
         for c in chunks(batch.column("text"), lower=True):
             hashes, sizes = shingle_sets(c)
-            ends = np.cumsum(sizes)
+            ends, (one, two) = np.cumsum(sizes), set_hashes(hashes, sizes)
             ids = batch.column("doc_id").slice(at, len(sizes))
             at += len(sizes)
-            yield pa.RecordBatch.from_pydict({"doc_id": ids, "found": pa.array([hashes[e - n : e].tobytes() for e, n in zip(ends, sizes)], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"doc_id": ids, "s1": pa.array(one.view(np.int64)), "s2": pa.array(two.view(np.int64)), "found": pa.array([hashes[e - n : e].tobytes() for e, n in zip(ends, sizes)], pa.binary())})
 
 
 def _linked(batches):
@@ -180,8 +187,9 @@ class _Tests:
         """Tests pairs (a, b); gives all links found so far."""
         new = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         new = written(new.join(self.known, "doc_id", "left_anti") if self.known is not None else new)
-        # of rows that share a doc_id one set is tested
-        found = written(self.texts.join(new, "doc_id").mapInArrow(_sets, "doc_id long, found binary").groupBy("doc_id").agg(F.min("found").alias("found")))
+        # of rows that share a doc_id the chosen one's set is tested
+        sets = self.texts.join(new, "doc_id").mapInArrow(_sets, "doc_id long, s1 long, s2 long, found binary").where(F.length("found") > 0)
+        found = written(sets.groupBy("doc_id").agg(F.min_by("found", F.struct("s1", "s2")).alias("found")))
         self.known, self.sets = (new, found) if self.known is None else (self.known.union(new), self.sets.unionByName(found))
         side = lambda x: self.sets.select(F.col("doc_id").alias(x), F.col("found").alias(f"set_{x}"))
         now = written(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInArrow(_linked, "a long, b long, linked boolean"))
@@ -227,8 +235,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     all_docs = written(texts.mapInArrow(_describe, "doc_id long, n_shingles long, s1 long, s2 long, sig binary"))
     filled = all_docs.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = filled.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("n_shingles").alias("size"))
-    reps = written(classes.groupBy("rep").agg(F.min(F.struct("s1", "s2", "sig", "size")).alias("x")).select("rep", "x.*"))
+    # one row for each doc_id first, so that no two classes have the same smallest doc_id
+    chosen = written(filled.groupBy("doc_id").agg(F.min(F.struct("s1", "s2")).alias("x")).select("doc_id", "x.*"))
+    described = filled.groupBy("s1", "s2").agg(F.first("sig").alias("sig"), F.first("n_shingles").alias("size"))
+    reps = written(chosen.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")).join(described, ["s1", "s2"]))
     posted = reps.select("rep", "sig").mapInArrow(_post, "key long, rep long")
     lists = posted.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("hub")).where("n > 1")
     members = written(posted.join(lists, "key"))
@@ -247,6 +257,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links, most = tests.run(pairs), most * TESTS
         labels = components(links)
     group = reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("s1", "s2", F.coalesce("component", "rep").alias("component_id"))
-    by_id = filled.join(group, ["s1", "s2"]).groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    by_id = chosen.join(group, ["s1", "s2"]).select("doc_id", "component_id")
     out = all_docs.join(by_id, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -114,6 +114,19 @@ def test_near_duplicates_edges(spark):
     assert sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in got) == [(-1, -1, True), (5, 5, True), (5, 5, True), (6, 6, True)]
 
 
+def test_near_duplicates_of_a_repeated_id(spark):
+    rng, rows = random.Random(8), [(1, None)]
+    for first in (10, 20):
+        w = [rng.choice(WORDS) + str(k) for k in range(60)]
+        rows += [(k, " ".join(w)) for k in (1, first, first + 1)] + [(first + 2, " ".join([*w[:30], "other", *w[31:]]))]
+    out = near_dup.near_duplicates(frame(spark, rows)).collect()
+    got = {r.doc_id: r.component_id for r in out}
+    own = lambda k: [got[k], got[k + 1], got[k + 2]]
+    assert len(out) == len(rows) and got[1] == 1
+    assert sorted([own(10), own(20)]) in ([[1] * 3, [20] * 3], [[1] * 3, [10] * 3])
+    assert {r.doc_id for r in out if r.kept} == {1, max(got.values())}
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(30)] + [(100, 101)], "a long, b long")
     got = {r.node: r.component for r in components(links).collect()}
