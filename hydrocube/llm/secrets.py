@@ -70,6 +70,7 @@ class Tokens:
         self.open = (size >= 8) & (self.digits > 0) | (size >= 24)
         self.buf, self.raw = buf, buf.tobytes()
         self.doc = np.searchsorted(c.starts, self.start, "right") - 1
+        self.floor = c.starts[self.doc]
         digits, marks, stop = sums(_DIGIT), sums(~_WORD), c.starts + c.lengths
         self.file = np.stack([digits[stop] - digits[c.starts], marks[stop] - marks[c.starts]], 1) / np.maximum(c.lengths, 1)[:, None]
 
@@ -95,11 +96,14 @@ class Tokens:
         digits, uppers, lowers = int(self.digits[k]), int(self.uppers[k]), int(self.lowers[k])
         body = raw[s:e]
         kinds = ("d" if digits else "") + ("u" if uppers else "") + ("l" if lowers else "")
-        before = raw[max(0, s - 40) : s].decode("utf-8", "ignore").lower()
+        floor = int(self.floor[k])
+        before = raw[max(floor, s - 40) : s].decode("utf-8", "ignore").lower()
         words = re.findall(r"[a-z]+", before)[-2:]
         turns = sum((_DIGIT[x] != _DIGIT[y]) or (_UPPER[x] != _UPPER[y]) for x, y in zip(body, body[1:]))
         f = ["bias", f"kinds={kinds}", f"size={min(size // 4, 12)}", f"digits={min(4 * digits // size, 3)}", f"turns={min(6 * turns // size, 5)}", f"kinds={kinds},size={min(size // 8, 6)}", f"varied={min(len(set(body)) // 4, 5)}"]
-        f.append(f"mark={chr(raw[s - 1]) if s and raw[s - 1] < 128 else ''}")
+        # a text's first token is marked as one behind a space
+        mark = raw[s - 1] if s > floor else 0x20
+        f.append(f"mark={chr(mark) if mark < 128 else ''}")
         f.append(f"after={chr(raw[e]) if e < len(raw) and raw[e] < 128 else ''}")
         cue = next((w for w in reversed(words) if any(w.endswith(c) for c in _CUES)), None)
         plain = next((w for w in reversed(words) if w in _PLAIN), None)

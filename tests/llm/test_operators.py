@@ -213,6 +213,18 @@ def test_secret_base_spans_and_scan(spark):
     assert secrets.scan(empty(spark)).count() == 0
 
 
+def test_secret_spans_do_not_depend_on_the_text_before():
+    field = secrets.trained()
+    tokens = ["QwertyU1opAs", "a1b2c3d4e5f6a7b8", "20240229", "x9Kd82mQpL0z", "version12", "deadbeef00112233", "DE12345678901234567890"]
+    texts_ = [t + end for t in tokens for end in ("", " and so on")]
+    found = lambda rows: [x for c in chunks(pa.array(rows)) for x in secrets.tagged_spans(c, field)]
+    first = lambda rows: [(t := secrets.Tokens(c)).features(int(np.flatnonzero(t.doc == len(rows) - 1)[0]), True) for c in chunks(pa.array(rows))][0]
+    for text in texts_:
+        for before in ("the password", "client_secret", "version", "order id", "", "é"):
+            assert found([before, text])[1] == found([text])[0]
+            assert first([before, text]) == first([text])
+
+
 def test_secret_field_held_out():
     made, field = secrets._lines(300, random.Random(99)), secrets.trained()
     hit = miss = false = 0
