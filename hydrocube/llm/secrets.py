@@ -4,9 +4,10 @@ Base spans follow fixed patterns (below), leftmost and non-overlapping for each
 kind. The method adds spans of kind `crf`: runs of ASCII letters and digits are
 tokens, tagged as secret begin (B), inside (I) or outside (O) by a linear-chain
 conditional random field over token shape, neighbouring words and marks, and
-features of the file. Tokens that hold no digit and are short, and those under
-eight characters, are O by structure unless one mark joins them to a token that
-is not; as I may only follow B or I, Viterbi decoding splits exactly at such
+features of the file. Open tokens are those of eight or more characters with a
+digit or with capitals inside, those of 24 or more, those behind an assignment
+mark and the two behind a cue word. All others are O by structure unless one
+mark joins them to an open token; as I may only follow B or I, Viterbi decoding splits exactly at such
 tokens, so it runs over the short chains in between and plain prose costs a few
 byte masks. The field is trained here, in numpy, on lines made by rule from a
 fixed seed. Added spans never overlap base spans.
@@ -43,6 +44,7 @@ _WORD |= _DIGIT | _UPPER | _LOWER
 _JOINT = frozenset(b"+/_.=-")
 _CUES = ("password", "passwd", "pwd", "pass", "secret", "token", "key", "apikey", "auth", "bearer", "credential", "private", "access", "client")
 _PLAIN = ("id", "order", "phone", "tel", "version", "isbn", "iban", "card", "http", "https", "www", "uuid", "date", "ref", "commit", "md5")
+_ASSIGNED = re.compile(rb"""[:=]\x20*["']?(?=[A-Za-z0-9])""")
 B, I, O = 0, 1, 2  # noqa: E741
 
 
@@ -57,6 +59,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _cues(lower: bytes) -> list[tuple[int, int]]:
+    """Bounds of the cue words that end a run of letters."""
+    out = []
+    for cue in (c.encode() for c in _CUES):
+        at = lower.find(cue)
+        while at >= 0:
+            end = at + len(cue)
+            if not _LOWER[lower[end]]:
+                out.append((at, end))
+            at = lower.find(cue, end)
+    return out
+
+
 class Tokens:
     """A chunk's letter and digit runs, and the chains of them to decode."""
 
@@ -67,10 +82,19 @@ class Tokens:
         sums = lambda mask: np.concatenate(([0], np.cumsum(mask[buf])))
         self.digits, self.uppers, self.lowers = ((s := sums(m))[self.end] - s[self.start] for m in (_DIGIT, _UPPER, _LOWER))
         size = self.end - self.start
-        self.open = (size >= 8) & (self.digits > 0) | (size >= 24)
         self.buf, self.raw = buf, buf.tobytes()
+        mixed = (self.lowers > 0) & (self.uppers > _UPPER[buf[self.start]])
+        self.open = (size >= 8) & ((self.digits > 0) | mixed) | (size >= 24)
         self.doc = np.searchsorted(c.starts, self.start, "right") - 1
         self.floor = c.starts[self.doc]
+        # what an assignment mark leads to, and the two tokens behind a cue word, in the same text
+        for found, reach in (([m.span() for m in _ASSIGNED.finditer(self.raw)], 1), (_cues(self.raw.lower()), 2)):
+            bounds = np.array(found, np.int64).reshape(-1, 2)
+            of, at = np.searchsorted(c.starts, bounds[:, 0], "right") - 1, np.searchsorted(self.start, bounds[:, 1])
+            for k in range(reach):
+                some = np.flatnonzero(at + k < len(size))
+                some = some[self.doc[at[some] + k] == of[some]]
+                self.open[at[some] + k] = True
         digits, marks, stop = sums(_DIGIT), sums(~_WORD), c.starts + c.lengths
         self.file = np.stack([digits[stop] - digits[c.starts], marks[stop] - marks[c.starts]], 1) / np.maximum(c.lengths, 1)[:, None]
 
@@ -82,7 +106,7 @@ class Tokens:
             if k <= seen:
                 continue
             first = last = int(k)
-            while first > seen + 1 and tied(first - 1) and last - first < 32:
+            while first > seen + 1 and tied(first - 1):
                 first -= 1
             while tied(last):
                 last += 1
@@ -122,9 +146,9 @@ def _lines(count: int, rng: random.Random) -> list[tuple[str, list[tuple[int, in
     pick = lambda chars, low, high: "".join(rng.choices(chars, k=rng.randint(low, high)))
     words = lambda: " ".join(pick("etaoinshrdlu", 2, 9) for _ in range(rng.randint(1, 8)))
     for _ in range(count):
-        secret = rng.choice([pick("0123456789abcdef", 16, 20), pick(alnum, 16, 48), pick("0123456789abcdef", 24, 64), pick(alnum + "+/", 32, 60) + rng.choice(["", "="]), "AKIA" + pick(string.ascii_uppercase + string.digits, 16, 16), "ghp_" + pick(alnum, 36, 36), "sk-" + pick(alnum, 24, 48), "eyJ" + pick(alnum, 20, 30) + "." + pick(alnum, 20, 40), pick(alnum, 10, 16)])
+        secret = rng.choice([pick("0123456789abcdef", 16, 20), pick(alnum, 16, 48), pick("0123456789abcdef", 24, 64), pick(alnum + "+/", 32, 60) + rng.choice(["", "="]), "AKIA" + pick(string.ascii_uppercase + string.digits, 16, 16), "ghp_" + pick(alnum, 36, 36), "sk-" + pick(alnum, 24, 48), "eyJ" + pick(alnum, 20, 30) + "." + pick(alnum, 20, 40), pick(alnum, 10, 16), pick(string.ascii_letters, 12, 23)])
         cue = rng.choice(["password", "secret", "api_key", "token", "Authorization: Bearer", "client_secret", "private_key", "AWS_SECRET_ACCESS_KEY", "pwd", "auth"])
-        plain = rng.choice([pick("0123456789", 8, 16), f"version {rng.randint(1, 9)}.{rng.randint(0, 99)}.{pick('0123456789', 8, 10)}", f"https://example.com/{pick('etaoin', 4, 9)}/{pick('0123456789', 8, 10)}", f"order {pick('0123456789', 8, 12)}", f"{pick('etaoin', 4, 8)}{rng.randint(1, 9999)}@example.org", f"+{pick('0123456789', 11, 13)}", pick("etaoinshrdlu", 24, 36), f"DE{pick('0123456789', 20, 20)}", f"2024{pick('0123456789', 4, 4)}T{pick('0123456789', 6, 6)}", f"{pick('etaoinshr', 5, 9)}{rng.randint(10, 2030)}", f"{pick('etaoin', 5, 9)}_{rng.randint(100, 999)}-{pick('etaoinshr', 8, 12)}{rng.randint(1, 9)}", pick(string.ascii_uppercase, 24, 30)])
+        plain = rng.choice([pick("0123456789", 8, 16), f"version {rng.randint(1, 9)}.{rng.randint(0, 99)}.{pick('0123456789', 8, 10)}", f"https://example.com/{pick('etaoin', 4, 9)}/{pick('0123456789', 8, 10)}", f"order {pick('0123456789', 8, 12)}", f"{pick('etaoin', 4, 8)}{rng.randint(1, 9999)}@example.org", f"+{pick('0123456789', 11, 13)}", pick("etaoinshrdlu", 24, 36), f"DE{pick('0123456789', 20, 20)}", f"2024{pick('0123456789', 4, 4)}T{pick('0123456789', 6, 6)}", f"{pick('etaoinshr', 5, 9)}{rng.randint(10, 2030)}", f"{pick('etaoin', 5, 9)}_{rng.randint(100, 999)}-{pick('etaoinshr', 8, 12)}{rng.randint(1, 9)}", pick(string.ascii_uppercase, 24, 30), f"{rng.choice(_CUES)} {words()}", f"{rng.choice(_CUES)}: {words()}", f"{pick('etaoinshr', 3, 9)}: {words()}", f"{pick('etaoin', 3, 7)}{pick('etaoin', 4, 8).title()}{pick('etaoin', 3, 7).title()}"])
         kind = rng.random()
         if kind < 0.3:
             head = f"{words()} {cue}{rng.choice(['=', ': ', ' = ', '='])}{rng.choice(['', chr(34), chr(39)])}"

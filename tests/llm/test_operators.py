@@ -213,6 +213,18 @@ def test_secret_base_spans_and_scan(spark):
     assert secrets.scan(empty(spark)).count() == 0
 
 
+def test_secrets_without_digits():
+    field = secrets.trained()
+    found = lambda text: [text.encode()[s:e].decode() for c in chunks(pa.array([text])) for s, e in secrets.tagged_spans(c, field)[0]]
+    assert found("set pwd=QwertyUiopAsdfGh and go") == ["QwertyUiopAsdfGh"]
+    assert found("Authorization: Bearer AbCdEfGhIjKlMnOp") == ["AbCdEfGhIjKlMnOp"]
+    assert found("the key to the house is under the mat: take it, and pass the token on to the client") == []
+    apart = secrets.Tokens(next(chunks(pa.array(["my pwd", "Hello there", "pwd=", "Hello there"]))))
+    assert not apart.open[apart.doc % 2 == 1].any()
+    long = secrets.Tokens(next(chunks(pa.array(["/".join(["ab"] * 60 + ["a1b2c3d4e5f6"])]))))
+    assert [len(x) for x in long.chains()] == [61]
+
+
 def test_secret_spans_do_not_depend_on_the_text_before():
     field = secrets.trained()
     tokens = ["QwertyU1opAs", "a1b2c3d4e5f6a7b8", "20240229", "x9Kd82mQpL0z", "version12", "deadbeef00112233", "DE12345678901234567890"]
