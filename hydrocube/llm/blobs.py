@@ -8,6 +8,7 @@ the bits that carry information cost anything after compression.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 import numpy as np
@@ -73,9 +74,11 @@ def shard_count(df: DataFrame, text: str = "text", shard_bytes: int = SHARD_BYTE
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share; only where none is set, as in tests, a local one."""
+    """The folder that all executors share. Where none is set it is a local one under a local master, as in tests, and an error on a cluster."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         import tempfile
 
         spark.conf.set("spark.checkpoint.dir", found := "file://" + tempfile.mkdtemp(prefix="hydrocube-"))
@@ -84,6 +87,24 @@ def shared_folder(spark: SparkSession) -> str:
 
 def written(df: DataFrame) -> DataFrame:
     """df as a table in the shared folder: cuts lineage, and lost executors cost no recomputation."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Tables().write(df)
+
+
+class Tables:
+    """Tables in the shared folder that can go once nothing reads them any more."""
+
+    def __init__(self) -> None:
+        self.paths: list[tuple[SparkSession, str]] = []
+
+    def write(self, df: DataFrame) -> DataFrame:
+        path = f"{shared_folder(df.sparkSession).rstrip('/')}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        self.paths.append((df.sparkSession, path))
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def drop(self, keep: int = 0) -> None:
+        """Deletes all tables but the last `keep`."""
+        gone, self.paths = self.paths[: len(self.paths) - keep], self.paths[len(self.paths) - keep :]
+        for spark, path in gone:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

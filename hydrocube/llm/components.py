@@ -5,22 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blobs import written
+from .blobs import Tables
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of links (a, b).
 
     Each round takes the least label among a node and its neighbours, then the
-    label of that label; labels are written to the shared folder between rounds.
+    label of that label; labels are written to the shared folder between rounds,
+    and only the last ones stay.
     """
-    both = written(links.select("a", "b").union(links.select("b", "a")).distinct())
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
+    edges, tables = Tables(), Tables()
+    both = edges.write(links.select("a", "b").union(links.select("b", "a")).distinct())
+    labels = tables.write(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
     while True:
         heard = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("heard"))
         least = labels.join(heard, "node").select("node", F.col("label").alias("old"), F.least("label", "heard").alias("near"))
         jumped = labels.select(F.col("node").alias("near"), F.col("label").alias("far"))
-        new = written(least.join(jumped, "near").select("node", F.least("near", "far").alias("label"), (F.least("near", "far") != F.col("old")).alias("moved")))
+        new = tables.write(least.join(jumped, "near").select("node", F.least("near", "far").alias("label"), (F.least("near", "far") != F.col("old")).alias("moved")))
         labels = new.select("node", "label")
+        tables.drop(keep=1)
         if new.where("moved").limit(1).count() == 0:
+            edges.drop()
             return labels.select("node", F.col("label").alias("component"))

@@ -3,8 +3,8 @@
 A document is the set of its distinct 5-word shingles; two documents link when
 their sets' Jaccard similarity is 0.75 or more, confirmed on the full sets.
 
-* Documents with equal sets are one class from the start; only the class's
-  smallest doc_id goes on.
+* Documents with equal sets are one class from the start; only one set for each
+  class goes on.
 * A signature has 240 min-hash values. Three of the first 144 make a
   coordinate, 48 in all, so that a coordinate's list holds pairs of similarity s
   with chance s^3 and a passage that many texts share does not fill it with
@@ -12,20 +12,26 @@ their sets' Jaccard similarity is 0.75 or more, confirmed on the full sets.
   that link share at least 4 of 48 coordinates but for a chance of 3e-8, so the
   first 45 are the whole prefix to post: a pair with 4 in common has one among
   them.
-* Collisions are counted over the lists of the prefix. First each class is
-  paired with one hub, the smallest member of the lists that they share most:
-  no list emits its pairs. Verified links give components. Lists whose members
-  are then of one component are skipped; in the others only pairs of different
-  components are merged, over blocks of bounded size, at their first common
-  coordinate. Pairs under the match threshold, 143 of the 240 values (a chance
-  of 2e-8 at similarity 0.75), or whose set sizes rule the similarity out, go;
-  the rest are tested on the full sets, the 64 most alike of each two components
-  first, 64 times as many each round, until no untested pair of different
-  components is left. No partner is capped.
+* First each class is paired with one hub, the least member of the lists that
+  they share most, and tested on the full sets; links give components.
+* Lists whose members are then of one component are skipped. In the others the
+  collisions of pairs across components are counted. A pair is retained at 4
+  collisions and the match threshold, 143 of the 240 values (a chance of 2e-8 to
+  lose a pair of similarity 0.75), if the set sizes allow the similarity. A
+  list gives its retained pairs as a forest, one pair fewer than it has members
+  at most, so the parts that hold together by retained pairs are known without
+  a table of pairs.
+* Each part is sent, once, with its members' full sets to one task, or to
+  one for each two blocks of a large part, and every retained pair in it that
+  could still join two components is tested there on the full sets; the links
+  found come out as a forest again. No pair is dropped and none is listed twice.
+
+Shingles are compared as 64-bit hashes of their words, which mix every eight
+bytes.
 
 Defined cases: a null or empty text has no shingle and is its own component;
-fewer words than 5 are one shingle; rows that share a doc_id are one node, whose
-set is that of its row with the least set hash; a null doc_id has a null component, is kept
+fewer words than 5 are one shingle; rows that share a doc_id are one node, which
+links with whatever any of its rows links with; a null doc_id has a null component, is kept
 and links with nothing; other columns are ignored.
 """
 
@@ -33,16 +39,19 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blobs import written
+from .blobs import Tables, written
 from .components import components
 from .textkit import Chunk, chunks, mix
 
-WORDS, VALUES, FOLD, COORDINATES, SHARED, ALIKE, BLOCK, TESTS = 5, 240, 3, 48, 4, 143, 1024, 64
+WORDS, VALUES, FOLD, COORDINATES, SHARED, ALIKE = 5, 240, 3, 48, 4, 143
 PREFIX = COORDINATES - SHARED + 1
-PAIRS = "a long, b long, alike long"
+#: Members and bytes of a block, and how many blocks a group has before they grow to the full bytes.
+BLOCK, BLOCK_BYTES, BLOCKS = 512, 64 << 20, 32
+TESTED = 1 << 22
+PAIRS = "a long, b long"
 _RANDOM = np.random.default_rng(7)
 _A = _RANDOM.integers(0, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RANDOM.integers(0, 1 << 63, VALUES, dtype=np.uint64)
@@ -147,25 +156,89 @@ def _linked(batches):
             a, b = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
             both = len(a) + len(b) - len(np.union1d(a, b))
             ok.append(100 * both >= 75 * (len(a) + len(b) - both))
-        yield pa.RecordBatch.from_pydict({"a": batch.column("a"), "b": batch.column("b"), "linked": pa.array(ok, pa.bool_())})
-
-
-def _across(key, left, right=None):
-    """Pairs of one block pair of a list that lie in different components, pass the threshold and first meet in this list."""
-    a, b = left, right if right is not None else left
-    out: list[tuple] = []
-    if a.num_rows and b.num_rows:
-        sig_a, sig_b = _sigs(a.column("sig")), _sigs(b.column("sig"))
-        key_a, key_b = coordinates(sig_a)[:, :PREFIX], coordinates(sig_b)[:, :PREFIX]
-        (rep_a, rep_b), (comp_a, comp_b), (n_a, n_b) = ([t.column(c).to_numpy() for t in (a, b)] for c in ("rep", "comp", "size"))
-        here = int(np.int64(key[0].as_py()).view(np.uint64) >> np.uint64(56))
-        for k in range(len(rep_a)):
-            some = np.flatnonzero((rep_b > rep_a[k]) & (comp_b != comp_a[k]) & (4 * np.minimum(n_b, n_a[k]) >= 3 * np.maximum(n_b, n_a[k])))
-            alike = (sig_b[some] == sig_a[k]).sum(axis=1)
-            some, alike = some[alike >= ALIKE], alike[alike >= ALIKE]
-            first = (key_b[some] == key_a[k]).argmax(axis=1) == here
-            out += [(rep_a[k], rep_b[j], n) for j, n in zip(some[first], alike[first])]
-    return pa.table({n: pa.array([int(r[k]) for r in out], pa.int64()) for k, n in enumerate(("a", "b", "alike"))})
+        yield pa.RecordBatch.from_pydict({"a": batch.column("a").filter(pa.array(ok, pa.bool_())), "b": batch.column("b").filter(pa.array(ok, pa.bool_()))})
+
+
+class _Group:
+    """Members of a list or a part, or of two of its blocks: left ones meet each other, or the right ones if there are any."""
+
+    def __init__(self, left: pa.Table, right: pa.Table | None):
+        table = left if right is None else pa.concat_tables([left, right])
+        self.rep, self.comp, self.size = (table.column(c).to_numpy() for c in ("rep", "comp", "size"))
+        self.sig, self.table = _sigs(table.column("sig")), table
+        self.keys = coordinates(self.sig)
+        self.split = len(left) if right is not None else None
+
+    def retained(self, k: int, part: np.ndarray) -> np.ndarray:
+        """The members that k meets, at another place of part, and that pass the counts."""
+        some = np.arange(k + 1 if self.split is None else self.split, len(self.rep))
+        n = self.size[k]
+        some = some[(part[some] != part[k]) & (self.comp[some] != self.comp[k]) & (4 * np.minimum(self.size[some], n) >= 3 * np.maximum(self.size[some], n))]
+        some = some[(self.keys[some] == self.keys[k]).sum(axis=1) >= SHARED]
+        return some[(self.sig[some] == self.sig[k]).sum(axis=1) >= ALIKE]
+
+    def forest(self, part: np.ndarray, of: callable) -> pa.Table:
+        """The pairs of (k, what of gives for it) that join two numbers of part."""
+        a, b = [], []
+        for k in range(len(self.rep) if self.split is None else self.split):
+            for j in of(k, part):
+                if part[j] != part[k]:
+                    a.append(self.rep[k]), b.append(self.rep[j])
+                    part[part == part[j]] = part[k]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _list_forest(key, left, right=None):
+    """Retained pairs that first meet in this list, as a forest."""
+    group, here = _Group(left, right), int(np.int64(key[0].as_py()).view(np.uint64) >> np.uint64(56))
+
+    def met(k, part):
+        some = group.retained(k, part)
+        return some[(group.keys[some, :PREFIX] == group.keys[k, :PREFIX]).argmax(axis=1) == here]
+
+    return group.forest(np.arange(len(group.rep)), met)
+
+
+def _part_forest(key, left, right=None):
+    """Links between the components of a part, tested on the full sets, as a forest."""
+    group = _Group(left, right)
+    if not len(group.rep):
+        return group.forest(group.comp, lambda k, part: ())
+    ends = np.cumsum(group.size)
+    all_ = np.frombuffer(b"".join(group.table.column("found").to_pylist()), np.uint64)
+    distinct, code = np.unique(all_, return_inverse=True)
+    marked = np.zeros(len(distinct), bool)
+
+    def linked(k, part):
+        own = code[ends[k] - group.size[k] : ends[k]]
+        marked[own] = True
+        some = group.retained(k, part)
+        for now in np.split(some, np.flatnonzero(np.diff(np.cumsum(group.size[some]) // TESTED)) + 1) if len(some) else ():
+            size = group.size[now]
+            first = np.cumsum(size) - size
+            at = np.repeat(ends[now] - size - first, size) + np.arange(size.sum())
+            both = np.add.reduceat(marked[code[at]], first, dtype=np.int64)
+            yield from now[100 * both >= 75 * (size + group.size[k] - both)]
+        marked[own] = False
+
+    return group.forest(np.unique(group.comp, return_inverse=True)[1], linked)
+
+
+def _by_blocks(rows: DataFrame, key: str, held: list[str], forest: callable, tables: Tables) -> DataFrame:
+    """forest over each key's rows, or over each two blocks of them where they are many. rows: key, n and bytes of the key, rep and held."""
+    blocks = F.greatest(F.least(F.ceil(F.col("n") / BLOCK), F.lit(BLOCKS)), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+    at = rows.withColumn("blocks", blocks)
+    pairs = at.where("blocks = 1").select(key, *held).groupBy(key).applyInArrow(lambda key, table: forest(key, table), PAIRS)
+    long = at.where("blocks > 1")
+    if long.limit(1).count():
+        long = tables.write(long.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")))
+        each = long.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        ends = [F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q")]
+        inside, low, high = (each.where(f"block {sign} other").select(key, *ends, *held) for sign in "=<>")
+        high = high.toDF(*(f"{c}_" for c in high.columns)).toDF(*high.columns)  # columns of its own, for the cogroup
+        pairs = pairs.unionByName(inside.groupBy(key, "p", "q").applyInArrow(lambda key, table: forest(key, table), PAIRS))
+        pairs = pairs.unionByName(low.groupBy(key, "p", "q").cogroup(high.groupBy(key, "p", "q")).applyInArrow(lambda key, left, right: forest(key, left, right), PAIRS))
+    return pairs
 
 
 def _alike(batches):
@@ -177,86 +250,65 @@ def _alike(batches):
             yield pa.RecordBatch.from_pydict({"a": batch.column("a").filter(same), "b": batch.column("b").filter(same)})
 
 
-class _Tests:
-    """Full sets of the documents asked for so far, and the pairs tested on them."""
-
-    def __init__(self, texts: DataFrame):
-        self.texts, self.known, self.sets, self.tested = texts, None, None, None
-
-    def run(self, pairs: DataFrame) -> DataFrame:
-        """Tests pairs (a, b); gives all links found so far."""
-        new = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        new = written(new.join(self.known, "doc_id", "left_anti") if self.known is not None else new)
-        # of rows that share a doc_id the chosen one's set is tested
-        sets = self.texts.join(new, "doc_id").mapInArrow(_sets, "doc_id long, s1 long, s2 long, found binary").where(F.length("found") > 0)
-        found = written(sets.groupBy("doc_id").agg(F.min_by("found", F.struct("s1", "s2")).alias("found")))
-        self.known, self.sets = (new, found) if self.known is None else (self.known.union(new), self.sets.unionByName(found))
-        side = lambda x: self.sets.select(F.col("doc_id").alias(x), F.col("found").alias(f"set_{x}"))
-        now = written(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInArrow(_linked, "a long, b long, linked boolean"))
-        self.tested = now if self.tested is None else self.tested.unionByName(now)
-        return self.tested.where("linked")
-
-
-def _hub_pairs(members: DataFrame, reps: DataFrame) -> DataFrame:
+def _hub_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
     """Each class with the hub of the lists that they share most, if they are alike."""
     hubs = members.where("rep != hub").groupBy("rep", "hub").count().groupBy("rep").agg(F.max(F.struct("count", -F.col("hub"))).alias("best"))
     pairs = hubs.select((-F.col("best.col2")).alias("a"), F.col("rep").alias("b"))
     for x in ("a", "b"):
-        pairs = pairs.join(reps.select(F.col("rep").alias(x), F.col("sig").alias(f"sig_{x}"), F.col("size").alias(f"size_{x}")), x)
-    return pairs.mapInArrow(_alike, "a long, b long")
-
-
-def _cross_pairs(members: DataFrame, reps: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b, alike): the candidate pairs between components, each from its first common list."""
-    of = members.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("comp"))
-    mixed = of.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least != most").select("key")
-    at = of.join(mixed, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    held, described = ["rep", "comp", "sig", "size"], reps.select("rep", "sig", "size")
-    # lists of one block, then the blocks of longer lists; each member is joined with its signature once
-    small = at.where("blocks = 1").join(described, "rep").select("key", *held)
-    pairs = small.groupBy("key").applyInArrow(lambda key, table: _across(key, table), PAIRS)
-    long = at.where("blocks > 1")
-    if long.limit(1).count():
-        long = written(long.join(described, "rep").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")))
-        each = long.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        ends = [F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q")]
-        inside = each.where("block = other").select("key", *ends, *held)
-        pairs = pairs.unionByName(inside.groupBy("key", "p", "q").applyInArrow(lambda key, table: _across(key, table), PAIRS))
-        # pairs of two blocks either way round, as _across takes the smaller rep from its left
-        low, high = (each.where(f"block {sign} other").select("key", *ends, *held) for sign in "<>")
-        for left, right in ((low, high), (high, low)):
-            right = right.toDF(*(f"{c}_" for c in right.columns)).toDF(*right.columns)  # columns of its own, for the cogroup
-            pairs = pairs.unionByName(left.groupBy("key", "p", "q").cogroup(right.groupBy("key", "p", "q")).applyInArrow(lambda key, left, right: _across(key, left, right), PAIRS))
-    return pairs
+        pairs = pairs.join(classes.select(F.col("rep").alias(x), F.col("sig").alias(f"sig_{x}"), F.col("size").alias(f"size_{x}")), x)
+    return pairs.mapInArrow(_alike, PAIRS)
+
+
+def _full_sets(texts: DataFrame, classes: DataFrame, reps: DataFrame) -> DataFrame:
+    """(rep, found): the sorted shingle hashes of the classes named in reps."""
+    wanted = classes.join(reps, "rep").select("rep", F.col("least").alias("doc_id"), "s1", "s2")
+    sets = texts.join(wanted.select("doc_id").distinct(), "doc_id").mapInArrow(_sets, "doc_id long, s1 long, s2 long, found binary").where(F.length("found") > 0)
+    # rows that share a doc_id may be of several classes, and of one class repeatedly
+    return sets.join(wanted, ["doc_id", "s1", "s2"]).groupBy("doc_id", "rep").agg(F.first("found").alias("found")).select("rep", "found")
+
+
+def _part_rows(forest: DataFrame, classes: DataFrame, labels: DataFrame, sets: DataFrame, tables: Tables) -> DataFrame:
+    """The members of each part with their components, signatures and full sets."""
+    parts = tables.write(components(forest).select(F.col("node").alias("rep"), F.col("component").alias("part")))
+    of = parts.join(classes.select("rep", "sig", "size"), "rep").join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    sized = of.groupBy("part").agg(F.count("*").alias("n"), (8 * F.sum("size")).alias("bytes"))
+    return of.join(sized, "part").join(sets, "rep").select("part", "n", "bytes", "rep", F.coalesce("component", "rep").alias("comp"), "sig", "size", "found")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts, tables = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), Tables()
     all_docs = written(texts.mapInArrow(_describe, "doc_id long, n_shingles long, s1 long, s2 long, sig binary"))
     filled = all_docs.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    # one row for each doc_id first, so that no two classes have the same smallest doc_id
-    chosen = written(filled.groupBy("doc_id").agg(F.min(F.struct("s1", "s2")).alias("x")).select("doc_id", "x.*"))
-    described = filled.groupBy("s1", "s2").agg(F.first("sig").alias("sig"), F.first("n_shingles").alias("size"))
-    reps = written(chosen.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")).join(described, ["s1", "s2"]))
-    posted = reps.select("rep", "sig").mapInArrow(_post, "key long, rep long")
+    described = filled.groupBy("s1", "s2").agg(F.first("sig").alias("sig"), F.first("n_shingles").alias("size"), F.min("doc_id").alias("least"))
+    classes = written(described.withColumn("rep", F.monotonically_increasing_id()))
+    posted = classes.select("rep", "sig").mapInArrow(_post, "key long, rep long")
     lists = posted.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("hub")).where("n > 1")
-    members = written(posted.join(lists, "key"))
-    tests = _Tests(texts)
-    links = tests.run(written(_hub_pairs(members, reps)))
-    labels, most = components(links), TESTS
-    candidates = written(_cross_pairs(members, reps, labels))
-    while True:
-        comp = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"comp_{x}"))
-        apart = candidates.join(tests.tested.select("a", "b"), ["a", "b"], "left_anti").join(comp("a"), "a", "left").join(comp("b"), "b", "left")
-        apart = apart.select("a", "b", "alike", F.coalesce("comp_a", "a").alias("ca"), F.coalesce("comp_b", "b").alias("cb")).where("ca != cb")
-        order = Window.partitionBy(F.least("ca", "cb"), F.greatest("ca", "cb")).orderBy(F.desc("alike"), "a", "b")
-        pairs = written(apart.withColumn("r", F.row_number().over(order)).where(F.col("r") <= most).select("a", "b"))
-        if pairs.limit(1).count() == 0:
-            break
-        links, most = tests.run(pairs), most * TESTS
-        labels = components(links)
-    group = reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("s1", "s2", F.coalesce("component", "rep").alias("component_id"))
-    by_id = chosen.join(group, ["s1", "s2"]).select("doc_id", "component_id")
-    out = all_docs.join(by_id, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    members = tables.write(posted.join(lists, "key"))
+    # classes that a repeated doc_id joins, and those that link with their hubs
+    ids = tables.write(filled.join(classes.select("s1", "s2", "rep"), ["s1", "s2"]).select("doc_id", "rep").distinct())
+    several = ids.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a != last").select("doc_id", "a")
+    own = ids.join(several, "doc_id").where("rep != a").select("a", F.col("rep").alias("b"))
+    hub_pairs = tables.write(_hub_pairs(members, classes))
+    hub_sets = tables.write(_full_sets(texts, classes, hub_pairs.select(F.col("a").alias("rep")).union(hub_pairs.select("b")).distinct()))
+    for x in ("a", "b"):
+        hub_pairs = hub_pairs.join(hub_sets.select(F.col("rep").alias(x), F.col("found").alias(f"set_{x}")), x)
+    links = tables.write(hub_pairs.mapInArrow(_linked, PAIRS).union(own.select("a", "b")))
+    labels = components(links)
+    # lists that still hold several components
+    of = members.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select("key", "n", "rep", F.coalesce("component", "rep").alias("comp"))
+    mixed = of.groupBy("key").agg(F.min("comp").alias("first"), F.max("comp").alias("last")).where("first != last").select("key")
+    rows = of.join(mixed, "key").join(classes.select("rep", "sig", "size"), "rep").withColumn("bytes", F.col("n") * 2 * VALUES)
+    forest = tables.write(_by_blocks(rows, "key", ["rep", "comp", "sig", "size"], _list_forest, tables))
+    # the parts that retained pairs hold together, tested on the full sets
+    known = hub_sets.select("rep").withColumn("known", F.lit(True))
+    new = forest.select(F.col("a").alias("rep")).union(forest.select("b")).distinct().join(known, "rep", "left_anti")
+    sets = hub_sets.unionByName(tables.write(_full_sets(texts, classes, new)))
+    held = tables.write(_part_rows(forest, classes, labels, sets, tables))
+    links = tables.write(links.unionByName(_by_blocks(held, "part", ["rep", "comp", "sig", "size", "found"], _part_forest, tables)))
+    group = classes.join(components(links).withColumnRenamed("node", "rep"), "rep", "left").select("rep", "least", F.coalesce("component", "rep").alias("component"))
+    named = group.join(group.groupBy("component").agg(F.min("least").alias("component_id")), "component")
+    by_id = written(ids.join(named.select("rep", "component_id"), "rep").groupBy("doc_id").agg(F.min("component_id").alias("component_id")))
+    tables.drop()
+    out = all_docs.select("doc_id", "n_shingles").join(by_id, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

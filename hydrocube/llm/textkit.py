@@ -2,11 +2,12 @@
 
 A batch of texts is handled in chunks of a few megabytes: the texts are laid
 end to end with a separator byte behind each, words are found with byte masks
-and hashed with a polynomial prefix sum, so no Python object is made per word.
+and hashed eight bytes at a time, so no Python object is made per word.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,9 +16,8 @@ import pyarrow as pa
 CHUNK_BYTES = 1 << 20
 
 _U = np.uint64
-_P = 0x9E3779B97F4A7C15 | 1
-_P_INV = pow(_P, -1, 1 << 64)
-_Q = 0xD6E8FEB86659FD93 | 1
+#: Words of up to LONG bytes are hashed eight bytes at a time, longer ones by a digest.
+LONG = 64
 
 
 def is_space_table() -> np.ndarray:
@@ -32,7 +32,9 @@ SPACE = is_space_table()
 LOWER_AZ = np.arange(256, dtype=np.uint8)
 LOWER_AZ[0x41:0x5B] += 0x20
 
-_BYTE_CODES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
+#: Multipliers of the words of a window, by place.
+_PLACES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_HEAD_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -44,19 +46,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_powers: dict[int, np.ndarray] = {}
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0, 1, ... n - 1 modulo 2 ** 64, kept between calls."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        out = np.full(max(n, 4096), _U(base))
-        out[0] = 1
-        _powers[base] = have = np.cumprod(out, dtype=np.uint64)
-    return have[:n]
-
-
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets of n + 1) of a string column; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -91,12 +80,22 @@ class Chunk:
         self.word_doc_start = self.word_doc_end - self.n_words
 
     def word_hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
-        p = powers(_P, len(self.buf))
-        sums = np.cumsum(_BYTE_CODES[self.buf] * p, dtype=np.uint64)
-        before = np.where(self.word_start > 0, sums[self.word_start - 1], _U(0))
-        inverse = powers(_P_INV, len(self.buf))
-        return mix((sums[self.word_end - 1] - before) * inverse[self.word_start] + (self.word_end - self.word_start).astype(np.uint64))
+        """A 64-bit hash of each word's bytes, mixed after every eight bytes."""
+        start, size = self.word_start, self.word_end - self.word_start
+        padded = np.concatenate([self.buf, np.zeros(8, np.uint8)])
+        eight = np.ndarray(len(self.buf) + 1, "<u8", padded, strides=(1,))
+        out = mix(size.astype(np.uint64) + _PLACES[0])
+        rest, at = np.arange(len(start)), start
+        for done in range(0, LONG, 8):
+            left = size[rest] - done
+            out[rest] = mix((out[rest] ^ (eight[at] & _HEAD_BYTES[np.minimum(left, 8)])) * _PLACES[1])
+            more = left > 8
+            rest, at = rest[more], at[more] + 8
+            if not len(rest):
+                break
+        for k in rest:
+            out[k] = int.from_bytes(hashlib.blake2b(self.buf[start[k] : start[k] + size[k]], digest_size=8).digest(), "little")
+        return out
 
     def window_hashes(self, hashes: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
         """Hash of the words i .. i + width - 1 for each i up to len - width, across document bounds too."""
@@ -106,7 +105,9 @@ class Chunk:
         values = hashes if not seed else mix(hashes + _U(seed))
         out = np.zeros(n, np.uint64)
         for k in range(width):
-            out = out * _U(_Q) + values[k : k + n]
+            out += values[k : k + n] * _PLACES[2 + k % 254]
+            if k % 254 == 253:
+                out = mix(out)
         return mix(out)
 
     def doc_of_words(self) -> np.ndarray:

@@ -120,11 +120,63 @@ def test_near_duplicates_of_a_repeated_id(spark):
         w = [rng.choice(WORDS) + str(k) for k in range(60)]
         rows += [(k, " ".join(w)) for k in (1, first, first + 1)] + [(first + 2, " ".join([*w[:30], "other", *w[31:]]))]
     out = near_dup.near_duplicates(frame(spark, rows)).collect()
-    got = {r.doc_id: r.component_id for r in out}
-    own = lambda k: [got[k], got[k + 1], got[k + 2]]
-    assert len(out) == len(rows) and got[1] == 1
-    assert sorted([own(10), own(20)]) in ([[1] * 3, [20] * 3], [[1] * 3, [10] * 3])
-    assert {r.doc_id for r in out if r.kept} == {1, max(got.values())}
+    assert len(out) == len(rows) and {r.component_id for r in out} == {1} and {r.doc_id for r in out if r.kept} == {1}
+    a, b, c = (" ".join(rng.choices(WORDS, k=30)) for _ in range(3))
+    rows = [(5, a), (5, b), (9, b), (10, b), (11, a), (12, a), (13, c), (14, c), (15, None)]
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {5: 5, 9: 5, 10: 5, 11: 5, 12: 5, 13: 13, 14: 13, 15: 15}
+
+
+def test_a_large_group_of_near_copies(spark, monkeypatch):
+    rng, n = random.Random(5), 5000
+    base, rows = [f"{rng.choice(WORDS)}{k}" for k in range(70)], []
+    for k in range(n):
+        w = list(base)
+        for at in rng.sample(range(70), rng.choice([1, 2, 2, 3])):
+            w[at] = f"y{rng.randrange(3)}"
+        rows.append((k, " ".join(w)))
+    emitted, by_blocks = [], near_dup._by_blocks
+
+    def counted(*args):
+        found = args[-1].write(by_blocks(*args))
+        emitted.append(found.count())
+        return found
+
+    monkeypatch.setattr(near_dup, "_by_blocks", counted)
+    got = np.array([r.component_id for r in near_dup.near_duplicates(frame(spark, rows)).orderBy("doc_id").collect()])
+    code, posts = {}, []
+    sets = [sorted({code.setdefault(tuple(w[k : k + 5]), len(code)) for k in range(66)}) for w in (t.split() for _, t in rows)]
+    posts = [[] for _ in code]
+    for k, x in enumerate(sets):
+        for h in x:
+            posts[h].append(k)
+    posts, size, want = [np.array(x) for x in posts], np.array([len(x) for x in sets]), np.arange(n)
+    for k, x in enumerate(sets):
+        both = np.bincount(np.concatenate([posts[h] for h in x]), minlength=n)
+        linked = want[np.flatnonzero(100 * both >= 75 * (size + size[k] - both))]
+        want[np.isin(want, linked)] = linked.min()
+    assert (got == want).all() and 50 < len(set(want)) < n
+    # no table of pairs, of which there are millions here
+    assert max(emitted) < near_dup.PREFIX * n
+
+
+def thue_morse(n: int, a: str, b: str) -> str:
+    return "".join((a, b)[bin(k).count("1") % 2] for k in range(n))
+
+
+def test_different_words_hash_apart(spark):
+    one, two = thue_morse(1024, "a", "b"), thue_morse(1024, "b", "a")
+    got = near_dup.near_duplicates(frame(spark, [(1, one), (2, two)])).collect()
+    assert {r.component_id for r in got} == {1, 2}
+    head = " ".join(f"a{k}" for k in range(19))
+    got = {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(frame(spark, [(1, f"{head} {one}"), (2, f"{head} {two}"), (3, f"{head} {two}")])).collect()}
+    assert got == {1: 0, 2: 0, 3: 20}
+    words = [x[:k] for x in (one, two, "a" * 3000, "b" * 3000) for k in (1, 2, 7, 8, 9, 15, 16, 17, 63, 64, 65, 66, 71, 72, 1000)]
+    words += [f"w{k}" for k in range(20000)]
+    hashes = np.concatenate([c.word_hashes() for c in chunks(pa.array([" ".join(words)]))])
+    assert len(hashes) == len(words) and len(set(hashes.tolist())) == len(set(words))
+    again = np.concatenate([c.word_hashes() for c in chunks(pa.array(words[::-1]), limit=999)])
+    assert (again[::-1] == hashes).all()
 
 
 def test_components_of_a_chain(spark):
