@@ -22,6 +22,17 @@ from hydrocube.llm.queries import tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
+#: As many ids as this are broadcast to drop their rows, 16 MB; of more, texts and ids are shuffled.
+BROADCAST_IDS = 1 << 20
+
+
+def without(docs: DataFrame, gone: DataFrame, null_too: bool = False) -> DataFrame:
+    """docs but the rows whose doc_id is in gone."""
+    gone = written(gone.select(F.col("doc_id").alias("gone")).distinct())
+    ids = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    same = F.col("doc_id").eqNullSafe(F.col("gone")) if null_too else F.col("doc_id") == F.col("gone")
+    return docs.select(COLUMNS).join(ids, same, "left_anti")
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -29,14 +40,12 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = near_dup.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.select(COLUMNS).join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    return without(docs, near_dup.near_duplicates(docs).where(~F.col("kept")))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = decontaminate.find_overlap(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = found.where(decontaminate.contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.select(COLUMNS).join(gone, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    return without(docs, found.where(decontaminate.contaminated(F.col("n_hit"), F.col("n_words"))), null_too=True)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
