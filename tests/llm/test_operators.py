@@ -179,10 +179,18 @@ def test_different_words_hash_apart(spark):
     assert (again[::-1] == hashes).all()
 
 
-def test_components_of_a_chain(spark):
-    links = spark.createDataFrame([(k, k + 1) for k in range(30)] + [(100, 101)], "a long, b long")
-    got = {r.node: r.component for r in components(links).collect()}
-    assert got == {k: 0 for k in range(31)} | {100: 100, 101: 100}
+def test_components(spark):
+    rng = random.Random(9)
+    pairs = [(k, k + 1) for k in range(300)] + [(rng.randrange(400, 900), rng.randrange(400, 900)) for _ in range(260)] + [(1000, k) for k in range(1001, 1200)] + [(2000, 2001), (2001, 2000), (2000, 2001)]
+    root = {x: x for p in pairs for x in p}
+    for _ in range(400):
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    nodes = {x for a, b in pairs if a != b for x in (a, b)}
+    got = {r.node: r.component for r in components(spark.createDataFrame(pairs, "a long, b long").repartition(5)).collect()}
+    assert set(got) == nodes and all(got[got[x]] == got[x] for x in got)
+    assert len({(root[x], got[x]) for x in nodes}) == len({root[x] for x in nodes}) == len(set(got.values()))
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 def test_decontamination(spark):
