@@ -3,13 +3,13 @@
 Base spans follow fixed patterns (below), leftmost and non-overlapping for each
 kind. The method adds spans of kind `crf`: runs of ASCII letters and digits are
 tokens, tagged as secret begin (B), inside (I) or outside (O) by a linear-chain
-conditional random field over token shape, neighbouring words and marks, and
-features of the file. Open tokens are those of eight or more characters with a
-digit or with capitals inside, those of 24 or more, those behind an assignment
-mark and the two behind a cue word. All others are O by structure unless one
-mark joins them to an open token; as I may only follow B or I, Viterbi decoding splits exactly at such
-tokens, so it runs over the short chains in between and plain prose costs a few
-byte masks. The field is trained here, in numpy, on lines made by rule from a
+conditional random field over token shape, the two words before and the three
+behind, marks, and features of the file. Open tokens are those of eight or more
+characters with a digit or with capitals inside, those of 24 or more, those
+behind an assignment mark, and the three before and two behind a cue word. All
+others are O by structure unless one mark joins them to an open token; as I may
+only follow B or I, Viterbi decoding splits exactly at such tokens, so it runs
+over the short chains in between and plain prose costs a few byte masks. The field is trained here, in numpy, on lines made by rule from a
 fixed seed. Added spans never overlap base spans.
 
 Defined cases: a null text is an empty one (no spans); texts are scanned whole;
@@ -86,13 +86,18 @@ class Tokens:
         mixed = (self.lowers > 0) & (self.uppers > _UPPER[buf[self.start]])
         self.open = (size >= 8) & ((self.digits > 0) | mixed) | (size >= 24)
         self.doc = np.searchsorted(c.starts, self.start, "right") - 1
-        self.floor = c.starts[self.doc]
-        # what an assignment mark leads to, and the two tokens behind a cue word, in the same text
-        for found, reach in (([m.span() for m in _ASSIGNED.finditer(self.raw)], 1), (_cues(self.raw.lower()), 2)):
+        self.floor, self.stop = c.starts[self.doc], (c.starts + c.lengths)[self.doc]
+        # runs of letters: how many begin before each token, and before its end
+        letters = _UPPER[buf] | _LOWER[buf]
+        edge = np.flatnonzero(np.diff(np.concatenate(([False], letters, [False])).astype(np.int8)))
+        self.word_start, self.word_end = edge[0::2], edge[1::2]
+        self.words_before, self.words_within = (np.searchsorted(self.word_start, x) for x in (self.start, self.end))
+        # what an assignment mark leads to, and three tokens before and two behind a cue word, in the same text
+        for found, reach in (([m.span() for m in _ASSIGNED.finditer(self.raw)], range(1)), (_cues(self.raw.lower()), (-4, -3, -2, 0, 1))):
             bounds = np.array(found, np.int64).reshape(-1, 2)
             of, at = np.searchsorted(c.starts, bounds[:, 0], "right") - 1, np.searchsorted(self.start, bounds[:, 1])
-            for k in range(reach):
-                some = np.flatnonzero(at + k < len(size))
+            for k in reach:
+                some = np.flatnonzero((at + k >= 0) & (at + k < len(size)))
                 some = some[self.doc[at[some] + k] == of[some]]
                 self.open[at[some] + k] = True
         digits, marks, stop = sums(_DIGIT), sums(~_WORD), c.starts + c.lengths
@@ -114,28 +119,34 @@ class Tokens:
             seen = last
         return out
 
+    def word(self, k: int, n: int) -> str:
+        """The n-th run of letters in lower case, or nothing outside token k's text."""
+        if not 0 <= n < len(self.word_start) or self.word_start[n] < self.floor[k] or self.word_end[n] > self.stop[k]:
+            return ""
+        return self.raw[self.word_start[n] : self.word_end[n]].decode().lower()
+
     def features(self, k: int, first: bool) -> list[str]:
         s, e = int(self.start[k]), int(self.end[k])
         size, raw = e - s, self.raw
         digits, uppers, lowers = int(self.digits[k]), int(self.uppers[k]), int(self.lowers[k])
         body = raw[s:e]
         kinds = ("d" if digits else "") + ("u" if uppers else "") + ("l" if lowers else "")
-        floor = int(self.floor[k])
-        before = raw[max(floor, s - 40) : s].decode("utf-8", "ignore").lower()
-        words = re.findall(r"[a-z]+", before)[-2:]
+        floor, at = int(self.floor[k]), int(self.words_before[k])
+        words, behind = [self.word(k, at - 2), self.word(k, at - 1)], self.word(k, int(self.words_within[k]))
+        behind = [behind, self.word(k, int(self.words_within[k]) + 1), self.word(k, int(self.words_within[k]) + 2)]
         turns = sum((_DIGIT[x] != _DIGIT[y]) or (_UPPER[x] != _UPPER[y]) for x, y in zip(body, body[1:]))
         f = ["bias", f"kinds={kinds}", f"size={min(size // 4, 12)}", f"digits={min(4 * digits // size, 3)}", f"turns={min(6 * turns // size, 5)}", f"kinds={kinds},size={min(size // 8, 6)}", f"varied={min(len(set(body)) // 4, 5)}"]
         # a text's first token is marked as one behind a space
         mark = raw[s - 1] if s > floor else 0x20
         f.append(f"mark={chr(mark) if mark < 128 else ''}")
         f.append(f"after={chr(raw[e]) if e < len(raw) and raw[e] < 128 else ''}")
-        cue = next((w for w in reversed(words) if any(w.endswith(c) for c in _CUES)), None)
-        plain = next((w for w in reversed(words) if w in _PLAIN), None)
-        f += [f"cue={bool(cue)}", f"plain={bool(plain)}", f"cue={bool(cue)},mark={f[-2][5:] in '=:'}", f"first={first}"]
+        cue, plain = any(w.endswith(_CUES) for w in words), any(w in _PLAIN for w in words)
+        f += [f"cue={cue}", f"plain={plain}", f"cue={cue},mark={f[-2][5:] in '=:'}", f"first={first}"]
         if digits and set(body) <= set(b"0123456789abcdefABCDEF"):
             f.append("hex")
         if body[:2] in (b"sk", b"pk", b"gh", b"ey", b"AK"):
             f.append(f"head={body[:2].decode()}")
+        f += [f"cue behind={any(w and w.endswith(_CUES) for w in behind)}", f"plain behind={any(w in _PLAIN for w in behind)}"]
         d, m = self.file[self.doc[k]]
         return [*f, f"file digits={int(min(d * 20, 4))}", f"file marks={int(min(m * 10, 5))}"]
 
@@ -149,8 +160,13 @@ def _lines(count: int, rng: random.Random) -> list[tuple[str, list[tuple[int, in
         secret = rng.choice([pick("0123456789abcdef", 16, 20), pick(alnum, 16, 48), pick("0123456789abcdef", 24, 64), pick(alnum + "+/", 32, 60) + rng.choice(["", "="]), "AKIA" + pick(string.ascii_uppercase + string.digits, 16, 16), "ghp_" + pick(alnum, 36, 36), "sk-" + pick(alnum, 24, 48), "eyJ" + pick(alnum, 20, 30) + "." + pick(alnum, 20, 40), pick(alnum, 10, 16), pick(string.ascii_letters, 12, 23)])
         cue = rng.choice(["password", "secret", "api_key", "token", "Authorization: Bearer", "client_secret", "private_key", "AWS_SECRET_ACCESS_KEY", "pwd", "auth"])
         plain = rng.choice([pick("0123456789", 8, 16), f"version {rng.randint(1, 9)}.{rng.randint(0, 99)}.{pick('0123456789', 8, 10)}", f"https://example.com/{pick('etaoin', 4, 9)}/{pick('0123456789', 8, 10)}", f"order {pick('0123456789', 8, 12)}", f"{pick('etaoin', 4, 8)}{rng.randint(1, 9999)}@example.org", f"+{pick('0123456789', 11, 13)}", pick("etaoinshrdlu", 24, 36), f"DE{pick('0123456789', 20, 20)}", f"2024{pick('0123456789', 4, 4)}T{pick('0123456789', 6, 6)}", f"{pick('etaoinshr', 5, 9)}{rng.randint(10, 2030)}", f"{pick('etaoin', 5, 9)}_{rng.randint(100, 999)}-{pick('etaoinshr', 8, 12)}{rng.randint(1, 9)}", pick(string.ascii_uppercase, 24, 30), f"{rng.choice(_CUES)} {words()}", f"{rng.choice(_CUES)}: {words()}", f"{pick('etaoinshr', 3, 9)}: {words()}", f"{pick('etaoin', 3, 7)}{pick('etaoin', 4, 8).title()}{pick('etaoin', 3, 7).title()}"])
-        kind = rng.random()
-        if kind < 0.3:
+        kind, behind = rng.random(), rng.choice(["is the", "as the", "for the", "is my", "is our"])
+        if kind < 0.05 and len(secret) > 11:
+            head = f"{words()} " if rng.random() < 0.7 else ""
+            text, spans = f"{head}{secret} {behind} {rng.choice(_CUES[:8])}", [(len(head), len(head) + len(secret))]
+        elif kind > 0.95:
+            text, spans = f"{words()} {pick('0123456789', 8, 16)} {behind} {rng.choice(_PLAIN)}", []
+        elif kind < 0.3:
             head = f"{words()} {cue}{rng.choice(['=', ': ', ' = ', '='])}{rng.choice(['', chr(34), chr(39)])}"
             text, spans = f"{head}{secret} {words()}", [(len(head), len(head) + len(secret))]
         elif kind < 0.5 and len(secret) > 17:
@@ -236,7 +252,7 @@ def trained(lines: int = 2000, seed: int = 11) -> Field:
     sequences, tags = [], []
     for c in chunks(pa.array([t for t, _ in made])):
         tokens = Tokens(c)
-        for chain in (x[:8] for x in tokens.chains()):
+        for chain in tokens.chains():
             spans, at = made[c.first + tokens.doc[chain[0]]][1], c.starts[tokens.doc[chain[0]]]
             inside = [any(s <= tokens.start[k] - at < e for s, e in spans) for k in chain]
             sequences.append([tokens.features(k, j == 0) for j, k in enumerate(chain)])

@@ -297,6 +297,32 @@ def test_secret_spans_do_not_depend_on_the_text_before():
             assert first([before, text]) == first([text])
 
 
+def test_secret_spans_do_not_depend_on_order_or_batches(spark):
+    rng = random.Random(21)
+    made = [t for t, _ in secrets._lines(400, rng)]
+    rows = [(k, " ".join(rng.sample(made, rng.randint(1, 5))) if k % 9 else None) for k in range(300)] + [(300, made[0]), (301, made[0]), (302, "plain " * 3000 + made[1])]
+    field, want = secrets.trained(), {}
+    for k, t in rows:  # brute force: each text alone, base spans by the patterns, added ones where none overlaps
+        base = secrets.base_spans(t or "")
+        more = [(s, 3, e) for c in chunks(pa.array([t or ""])) for s, e in secrets.tagged_spans(c, field)[0]]
+        want[k] = [(secrets.KINDS[x], a, b) for a, x, b in sorted(base + [m for m in more if not any(m[0] < y and a < m[2] for a, _, y in base)])]
+    assert sum(x[0] == "crf" for r in want.values() for x in r) > 50
+    asked = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for order, parts, batch in ((1, 1, 10000), (-1, 3, 7), (1, 5, 1)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        got = secrets.scan(frame(spark, rows[::order]).repartition(parts)).select("doc_id", "spans").collect()
+        assert {r.doc_id: [tuple(x) for x in r.spans] for r in got} == want
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", asked)
+
+
+def test_secret_words_on_both_sides():
+    field = secrets.trained()
+    found = lambda text: [text.encode()[s:e].decode() for c in chunks(pa.array([text])) for s, e in secrets.tagged_spans(c, field)[0]]
+    assert found("Qx7Lp92mKd83 is the password") == ["Qx7Lp92mKd83"] and found("123456789012 is the order") == []
+    near, far = (next(chunks(pa.array([f"the password{' ' * n}abcd1234efgh"]))) for n in (1, 400))
+    assert [f for f in secrets.Tokens(near).features(2, True) if "cue" in f] == [f for f in secrets.Tokens(far).features(2, True) if "cue" in f]
+
+
 def test_secret_field_held_out():
     made, field = secrets._lines(300, random.Random(99)), secrets.trained()
     hit = miss = false = 0
