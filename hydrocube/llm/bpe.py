@@ -26,6 +26,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .textkit import lean, small_batches
+
 #: Unicode's White_Space characters.
 WHITE_SPACE = "".join(map(chr, (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 #: str.split() also parts words at these, which are no white space for the tokenizer.
@@ -190,6 +192,7 @@ def encode(docs: DataFrame, vocabulary: str, with_text: bool = False) -> DataFra
     """
     shared = docs.sparkSession.sparkContext.broadcast(Path(vocabulary).read_text(encoding="utf-8"))
 
+    @lean
     def run(batches):
         coder = _encoder(shared.value)
         for batch in batches:
@@ -201,13 +204,14 @@ def encode(docs: DataFrame, vocabulary: str, with_text: bool = False) -> DataFra
                     out["decoded"] = pa.array([coder.decode(i) for i in ids], pa.string())
                 yield pa.RecordBatch.from_pydict(out)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary" + ", decoded string" * with_text)
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary" + ", decoded string" * with_text)
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     """Adds decoded to rows that have ids; null ids decode to an empty text."""
     shared = encoded.sparkSession.sparkContext.broadcast(Path(vocabulary).read_text(encoding="utf-8"))
 
+    @lean
     def run(batches):
         coder = _encoder(shared.value)
         for batch in batches:
@@ -217,4 +221,4 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     from pyspark.sql.types import StringType, StructField, StructType
 
     kept = [f for f in encoded.schema.fields if f.name != "decoded"]
-    return encoded.select(*(f.name for f in kept)).mapInArrow(run, StructType([*kept, StructField("decoded", StringType())]))
+    return small_batches(encoded).select(*(f.name for f in kept)).mapInArrow(run, StructType([*kept, StructField("decoded", StringType())]))

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from .blobs import Tables, written
 from .components import components
-from .textkit import Chunk, chunks, mix
+from .textkit import Chunk, chunks, lean, mix, small_batches
 
 WORDS, VALUES, FOLD, COORDINATES, SHARED, ALIKE = 5, 240, 3, 48, 4, 143
 PREFIX = COORDINATES - SHARED + 1
@@ -110,6 +110,7 @@ def coordinates(sig: np.ndarray) -> np.ndarray:
     return (folded | (np.arange(COORDINATES, dtype=np.uint64) << np.uint64(56))).view(np.int64)
 
 
+@lean
 def _describe(batches):
     for batch in batches:
         at = 0
@@ -126,6 +127,7 @@ def _describe(batches):
             yield pa.RecordBatch.from_pydict({"doc_id": ids, "n_shingles": pa.array(sizes, pa.int64()), "s1": pa.array(one.view(np.int64)), "s2": pa.array(two.view(np.int64)), "sig": pa.array(blobs, pa.binary())})
 
 
+@lean
 def _post(batches):
     for batch in batches:
         for at in range(0, batch.num_rows, 2048):
@@ -138,6 +140,7 @@ def _sigs(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, VALUES)
 
 
+@lean
 def _sets(batches):
     for batch in batches:
         at = 0
@@ -149,6 +152,7 @@ def _sets(batches):
             yield pa.RecordBatch.from_pydict({"doc_id": ids, "s1": pa.array(one.view(np.int64)), "s2": pa.array(two.view(np.int64)), "found": pa.array([hashes[e - n : e].tobytes() for e, n in zip(ends, sizes)], pa.binary())})
 
 
+@lean
 def _linked(batches):
     for batch in batches:
         ok = []
@@ -241,6 +245,7 @@ def _by_blocks(rows: DataFrame, key: str, held: list[str], forest: callable, tab
     return pairs
 
 
+@lean
 def _alike(batches):
     for batch in batches:
         if batch.num_rows:
@@ -277,7 +282,7 @@ def _part_rows(forest: DataFrame, classes: DataFrame, labels: DataFrame, sets: D
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
-    texts, tables = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), Tables()
+    texts, tables = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text"), Tables()
     all_docs = written(texts.mapInArrow(_describe, "doc_id long, n_shingles long, s1 long, s2 long, sig binary"))
     filled = all_docs.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     described = filled.groupBy("s1", "s2").agg(F.first("sig").alias("sig"), F.first("n_shingles").alias("size"), F.min("doc_id").alias("least"))

@@ -9,8 +9,8 @@ sample, are projected on the sample's leading singular directions.
 The sample is the labelled rows with the least hash of doc_id, `sample` at most
 (a documented parameter: the model is fitted on it, whatever the corpus size).
 Their latent vectors, a megabyte, are broadcast; each document's cosines with
-all of them are exact, computed in blocks, and its `neighbours` nearest vote
-with weight cosine ** `sharpness`.
+all of them are exact, computed in blocks, and its `neighbours` nearest, with all
+that tie with the last of them, vote with weight cosine ** `sharpness`.
 
 Learning uses no row that is held out (crc32(doc_id as text) mod 4 = 2), and a
 score uses the text alone.
@@ -28,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import SPACE, Chunk, chunks
+from .textkit import SPACE, Chunk, chunks, lean, small_batches
 
 TERMS, EVENTS, KINDS = 1024, 3, 40
 DIMENSIONS, SAMPLE, NEIGHBOURS, SHARPNESS, THRESHOLD = 48, 4096, 15, 8, 0.7
+#: Rows of a block of cosines, and the difference within which cosines are ties.
+BLOCK, TIE = 512, 1e-6
 
 
 def _kinds() -> np.ndarray:
@@ -96,11 +98,15 @@ class Model:
     def score(self, shares: np.ndarray, neighbours: int = NEIGHBOURS, sharpness: float = SHARPNESS) -> np.ndarray:
         if not len(self.labels):
             return np.ones(len(shares))
-        cosine, k = self.latent(shares) @ self.vectors.T, min(neighbours, len(self.labels))
-        near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-        vote = np.maximum(np.take_along_axis(cosine, near, axis=1), 0).astype(np.float64) ** sharpness
-        total = vote.sum(axis=1)
-        return np.where(total > 1e-9, (vote * self.labels[near]).sum(axis=1) / np.maximum(total, 1e-9), self.prior).clip(0, 1)
+        each, k = [], min(neighbours, len(self.labels))
+        for at in range(0, len(shares), BLOCK):
+            cosine = self.latent(shares[at : at + BLOCK]) @ self.vectors.T
+            least = np.partition(cosine, -k, axis=1)[:, -k]
+            row, near = np.nonzero(cosine >= least[:, None] - TIE)
+            vote = np.maximum(cosine[row, near], 0).astype(np.float64) ** sharpness
+            total, good = (np.bincount(row, w, len(cosine)) for w in (vote, vote * self.labels[near]))
+            each.append(np.where(total > 1e-9, good / np.maximum(total, 1e-9), self.prior).clip(0, 1))
+        return np.concatenate(each) if each else np.zeros(0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Model:
@@ -108,6 +114,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
+    @lean
     def describe(batches):
         for batch in batches:
             at = 0
@@ -117,7 +124,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
                 at += len(rows)
                 yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "y": part.column("y"), "shares": pa.array([r.tobytes() for r in rows], pa.binary())})
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")
+    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")
     found = texts.mapInArrow(describe, "doc_id long, y int, shares binary").groupBy("doc_id").agg(F.max("y").alias("y"), F.min("shares").alias("shares"))
     rows = sorted(found.collect())  # `sample` rows at most
     return Model(np.array([np.frombuffer(r.shares, np.float32) for r in rows], np.float64).reshape(len(rows), TERMS + EVENTS), np.array([r.y for r in rows]))
@@ -130,6 +137,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     kept = [f for f in docs.schema.fields if f.name != "score"]
 
+    @lean
     def run(batches):
         for batch in batches:
             at = 0
@@ -139,4 +147,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 at += len(scores)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], [*part.schema.names, "score"])
 
-    return docs.select(*(F.col(f"`{f.name}`") for f in kept)).mapInArrow(run, StructType([*kept, StructField("score", DoubleType())]))
+    return small_batches(docs).select(*(F.col(f"`{f.name}`") for f in kept)).mapInArrow(run, StructType([*kept, StructField("score", DoubleType())]))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import Chunk, chunks
+from .textkit import Chunk, chunks, lean, small_batches
 
 #: Fixed patterns of the contract.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -287,6 +287,7 @@ def scan(docs: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(trained())
     arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
+    @lean
     def run(batches):
         field = shared.value
         for batch in batches:
@@ -308,7 +309,7 @@ def scan(docs: DataFrame) -> DataFrame:
                     rows.append([{"kind": KINDS[k], "start": s, "end": e} for s, k, e in sorted(spans)])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rows, arrow)], [*part.schema.names, "spans"])
 
-    return docs.select(*(F.col(f"`{f.name}`") for f in kept)).mapInArrow(run, StructType([*kept, StructField("spans", _parse_datatype_string(SPAN))]))
+    return small_batches(docs).select(*(F.col(f"`{f.name}`") for f in kept)).mapInArrow(run, StructType([*kept, StructField("spans", _parse_datatype_string(SPAN))]))
 
 
 def listed(spans: Column) -> Column:

@@ -7,13 +7,16 @@ and hashed eight bytes at a time, so no Python object is made per word.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES, CHUNK_ROWS = 1 << 20, 2048
 
 _U = np.uint64
 #: Words of up to LONG bytes are hashed eight bytes at a time, longer ones by a digest.
@@ -115,11 +118,34 @@ class Chunk:
 
 
 def chunks(column: pa.Array, lower: bool = False, limit: int = CHUNK_BYTES, gap: np.ndarray = SPACE) -> Iterator[Chunk]:
-    """Chunks of about limit bytes; one longer text is a chunk of its own."""
+    """Chunks of about limit bytes and CHUNK_ROWS texts at most; one longer text is a chunk of its own."""
     data, off = text_buffers(column)
     n, first = len(off) - 1, 0
     while first < n:
         last = max(first + 1, int(np.searchsorted(off, off[first] + limit, "right")) - 1)
-        last = min(last, n)
+        last = min(last, n, first + CHUNK_ROWS)
         yield Chunk(data, off, first, last, lower, gap)
         first = last
+
+
+def lean(run: Callable) -> Callable:
+    """run over a task's batches, which then hands freed memory back: workers are used again by later stages."""
+
+    @functools.wraps(run)
+    def freed(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return freed
+
+
+def small_batches(df, size: int = 4 << 20):
+    """df, in whose session Arrow batches of text have no more than size bytes from here on; a longer text is a batch of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = df.sparkSession.conf.get(key, None)
+    if held is None or int(re.sub(r"\D", "", held) or 0) > size:
+        df.sparkSession.conf.set(key, str(size))
+    return df

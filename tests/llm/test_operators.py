@@ -384,11 +384,21 @@ def test_quality_votes_equal_brute_force():
     vectors, mine = model.vectors, model.latent(probe)
     for v, s in zip(mine, model.score(probe)):
         cos = vectors @ v
-        near = np.argsort(-cos)[: quality.NEIGHBOURS]
+        near = np.flatnonzero(cos >= np.sort(cos)[-quality.NEIGHBOURS] - quality.TIE)
         w = np.maximum(cos[near], 0).astype(float) ** quality.SHARPNESS
         assert abs(s - (w * labels[near]).sum() / w.sum()) < 1e-6
 
 
+def test_quality_ties_at_the_last_neighbour():
+    rng = np.random.default_rng(2)
+    one = rng.random(quality.TERMS + quality.EVENTS) * (rng.random(quality.TERMS + quality.EVENTS) < 0.05)
+    shares = np.stack([one] * 40 + [one * (rng.random(len(one)) < 0.5) for _ in range(20)])
+    labels = np.array([1] * 30 + [0] * 30)
+    for order in (np.arange(60), np.arange(60)[::-1]):
+        score = quality.Model(shares[order], labels[order]).score(np.stack([one] * 700))
+        assert np.allclose(score, 0.75, atol=1e-4)
+
+
 def test_toxicity(spark):
     rows, docs, labels = labelled(spark, "toxic")
     got = {r.doc_id: r for r in toxicity.grade(docs, toxicity.fit(docs, labels)).collect()}
