@@ -9,10 +9,20 @@ RES = 1.0 / 60.0
 WEST, NORTH, ROWS, COLS = -180.0, 90.0, 10800, 21600
 
 
-def valid_bbox(west: Column, south: Column, east: Column, north: Column) -> Column:
-    """Finite, in range and ordered; west may exceed east only across the dateline, which this rejects."""
+def _in_range(west: Column, south: Column, east: Column, north: Column) -> Column:
     fine = lambda c, top: c.isNotNull() & ~F.isnan(c) & c.between(-top, top)
-    return fine(west, 180) & fine(east, 180) & fine(south, 90) & fine(north, 90) & (west < east) & (south < north)
+    return fine(west, 180) & fine(east, 180) & fine(south, 90) & fine(north, 90)
+
+
+def valid_bbox(west: Column, south: Column, east: Column, north: Column) -> Column:
+    """Finite, in range and ordered; a box may be a line or a point, and none may cross the dateline."""
+    return _in_range(west, south, east, north) & (west <= east) & (south <= north)
+
+
+def valid_event(west: Column, south: Column, east: Column, north: Column, start: Column, end: Column) -> Column:
+    """A valid box, or one that crosses the dateline from the east to the west half, and dates that do not run backwards."""
+    crossing = (west > 0) & (east < 0)
+    return _in_range(west, south, east, north) & ((west <= east) | crossing) & (south <= north) & F.coalesce(end >= start, F.lit(False))
 
 
 def meets_closed(a: tuple[Column, ...], b: tuple[Column, ...]) -> Column:

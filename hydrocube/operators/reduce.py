@@ -84,6 +84,25 @@ def temporal(df: DataFrame, source: str, keys: list[str], layers: list[str], val
     return df.groupBy(*keys).agg(*columns)
 
 
+def mean_cloud_fraction(df: DataFrame, tile: str, cloudy: Column, valid: Column, by: list[str] | None = None) -> DataFrame:
+    """The mean over tiles of each one's share of cloudy pixels among its valid ones; a tile without valid pixels counts as 0."""
+    each = df.groupBy(*(by or []), tile).agg(F.coalesce(F.count_if(cloudy & valid) / F.nullif(F.count_if(valid), F.lit(0)), F.lit(0.0)).alias("_share"))
+    return each.groupBy(*(by or [])).agg(F.avg("_share").alias("cloud_fraction"))
+
+
+def missing_fraction(reduced: DataFrame, value: Column, by: list[str] | None = None) -> DataFrame:
+    """The share of pixels of a reduced raster that stayed without a value, 1 where there are none."""
+    return reduced.groupBy(*(by or [])).agg(F.coalesce(1 - F.count(value) / F.nullif(F.count("*"), F.lit(0)), F.lit(1.0)).alias("cloud_fraction"))
+
+
+def gfm_temporal(df: DataFrame, keys: list[str], native: bool = False) -> DataFrame:
+    """GFM layers reduced over time: codes as they come where native, else fractions from summed counts."""
+    if native:
+        return temporal(df, "gfm", keys, ["ensemble_flood_extent", "reference_water_mask", "advisory_flags", "ensemble_likelihood"])
+    out = accumulate(df, keys).withColumnRenamed("reference", "reference_water_mask")
+    return REGISTRIES["gfm"].derive_all(out, {n: n for n in ("flood_count", "water_count", "valid_count", "reference_water_mask")}, ["water_fraction", "flood_fraction", "reference_water"])
+
+
 def accumulate(items: DataFrame, keys: list[str]) -> DataFrame:
     """Sums of item fractions and counts by pixel, highest codes, flags together and likelihood to the nearest percent."""
     nodata = 255

@@ -16,19 +16,20 @@ def attach_areas(catalogue: DataFrame, areas: DataFrame, key: str = "aoi_id") ->
 def box_join(events: DataFrame, items: DataFrame, how: str = "inner", cell: float = CELL) -> DataFrame:
     """Events x items by date window and open box intersection, as an equi-join.
 
-    Both sides are sent to the (year, cell) bins that they reach; a pair that
+    Both sides are sent to the (month, cell) bins that they reach; a pair that
     meets in several bins is kept in the one that holds the corner of its
     intersection, so no deduplication is needed. events: event_id, west, south,
     east, north, d0, d1; items: date and a box.
     """
     bins = lambda a, b: F.sequence(F.floor(F.col(a) / cell).cast("int"), F.floor(F.col(b) / cell).cast("int"))
     cells = lambda df: df.withColumn("_bx", F.explode(bins("west", "east"))).withColumn("_by", F.explode(bins("south", "north")))
-    e = cells(events.withColumn("_year", F.explode(F.sequence(F.year("d0"), F.year("d1"))))).alias("e")
-    i = cells(items.withColumn("_year", F.year("date"))).alias("i")
+    month = lambda d: F.year(d) * 12 + F.month(d)
+    e = cells(events.where("d0 <= d1").withColumn("_month", F.explode(F.sequence(month("d0"), month("d1"))))).alias("e")
+    i = cells(items.withColumn("_month", month("date"))).alias("i")
     c = lambda n: F.col(n)
     corner = (c("e._bx") == F.floor(F.greatest(c("e.west"), c("i.west")) / cell)) & (c("e._by") == F.floor(F.greatest(c("e.south"), c("i.south")) / cell))
     meets = (c("e.west") < c("i.east")) & (c("i.west") < c("e.east")) & (c("e.south") < c("i.north")) & (c("i.south") < c("e.north"))
-    on = (c("e._year") == c("i._year")) & (c("e._bx") == c("i._bx")) & (c("e._by") == c("i._by")) & c("i.date").between(c("e.d0"), c("e.d1")) & meets & corner
+    on = (c("e._month") == c("i._month")) & (c("e._bx") == c("i._bx")) & (c("e._by") == c("i._by")) & c("i.date").between(c("e.d0"), c("e.d1")) & meets & corner
     picked = [c(f"e.{n}") for n in events.columns if n == "event_id"] + [c(f"i.{n}").alias(n) for n in items.columns]
     return e.join(i, on, how).select(*picked)
 
@@ -150,7 +151,7 @@ def tile_prefixes(keys: DataFrame, prefix: str) -> DataFrame:
 
     Labelled areas keep tiles at depth two, area 0 at depth three.
     """
-    parts = F.split(F.substring("key", len(prefix) + 1, 1 << 20), "/")
+    parts = F.split(F.expr(f"substring(key, {len(prefix) + 1})"), "/")
     under = keys.where(F.col("key").startswith(prefix)).withColumn("p", parts).where(F.col("p")[0].rlike(r"^\d+$"))
     zero = F.col("p")[0].cast("int") == 0
     depth = F.when(zero & (F.size("p") >= 4), 3).when(~zero & (F.size("p") >= 3), 2)

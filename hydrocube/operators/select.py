@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .order import before, running
+
 PRIORITIES = ("post", "pre", "balanced")
 
 
@@ -41,9 +43,11 @@ def peak_window(dates: DataFrame, before: int, after: int, by: list[str] | None
 
 
 def subsample(dates: DataFrame, most: int, priority: str = "balanced", by: list[str] | None = None, count: str = "n", day: str = "date") -> DataFrame:
-    """At most `most` dates: the peak and then its neighbours by list position."""
+    """At most `most` dates: the peak and then its neighbours by list position; 0 or less keeps all. Without by, dates are bounded by the calendar."""
     if priority not in PRIORITIES:
         raise ValueError(f"unknown priority {priority!r}; known are {PRIORITIES}")
+    if most <= 0:
+        return dates
     by = by or []
     group = [F.col(c) for c in by] or [F.lit(0)]
     in_order, whole = Window.partitionBy(*group).orderBy(day), Window.partitionBy(*group)
@@ -97,9 +101,9 @@ def islands(days: DataFrame, by: list[str] | None = None, day: str = "date") ->
 
 def unsorted_spans(axis: DataFrame, index: str = "i", value: str = "t") -> DataFrame:
     """Places of an axis whose value does not exceed the one before, as runs: first, last."""
-    w = Window.orderBy(index)
-    broken = axis.withColumn("_bad", F.coalesce(F.col(value) <= F.lag(value).over(w), F.lit(False))).where("_bad")
-    return broken.withColumn("_run", F.col(index) - F.row_number().over(w)).groupBy("_run").agg(F.min(index).alias("first"), F.max(index).alias("last")).drop("_run")
+    broken = before(axis, index, value).where(F.col(value) <= F.col("_before"))
+    numbered = running(broken, index, F.lit(1), "_n")
+    return numbered.withColumn("_run", F.col(index) - F.col("_n")).groupBy("_run").agg(F.min(index).alias("first"), F.max(index).alias("last")).drop("_run")
 
 
 def date_states(tasks: DataFrame, by: tuple[str, ...] = ("date",)) -> DataFrame:
@@ -133,7 +137,7 @@ def sample_done(tasks: DataFrame, n: int) -> DataFrame:
 
 def cap_by_event(tasks: DataFrame, most: int) -> DataFrame:
     """Whole events in order while the running number of tasks stays within `most`."""
-    events = tasks.groupBy("event_id").agg(F.count("*").alias("n")).withColumn("_sum", F.sum("n").over(Window.orderBy("event_id")))
+    events = running(tasks.groupBy("event_id").agg(F.count("*").alias("n")), "event_id", F.col("n"), "_sum")
     return tasks.join(events.where(F.col("_sum") <= most).select("event_id"), "event_id", "left_semi")
 
 

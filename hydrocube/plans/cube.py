@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import json
+import uuid
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.grid import COLS, NORTH, RES, ROWS, WEST
 from ..operators.select import islands
+from ..sources import files as fs
 
 NODATA, SHARD, CHUNK = 255, 2048, 256
 KEYS = ["source", "layer", "date", "row_", "col_"]
@@ -36,7 +40,8 @@ def prefill(spark: SparkSession, year: int) -> DataFrame:
 def reindexed(pixels: DataFrame, expected: DataFrame, cells: DataFrame, value: str = "v") -> DataFrame:
     """The cube on the sorted union of its dates and the expected ones; new slots hold nodata. cells: the pixels of the grid in use."""
     axis = pixels.select("date").union(expected.select("date")).distinct()
-    grid = axis.crossJoin(F.broadcast(cells))  # a calendar by a bounded set of cells
+    days = axis.agg(F.collect_set("date").alias("_days"))  # one row, bounded by the calendar
+    grid = cells.crossJoin(F.broadcast(days)).select(*cells.columns, F.explode("_days").alias("date"))
     return grid.join(pixels, ["date", *cells.columns], "left").select("date", *cells.columns, F.coalesce(value, F.lit(NODATA)).alias(value))
 
 
@@ -61,12 +66,7 @@ class Cube:
 
     def _table(self, name: str, schema: str) -> DataFrame:
         where = f"{self.path}/{name}"
-        return self.spark.read.schema(schema).parquet(where) if self._exists(where) else self.spark.createDataFrame([], schema)
-
-    def _exists(self, where: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(where)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+        return self.spark.read.schema(schema).parquet(where) if fs.exists(self.spark, where) else self.spark.createDataFrame([], schema)
 
     def _check(self) -> None:
         held = self._table("config", "body string").head()
@@ -82,22 +82,31 @@ class Cube:
         """Upserts (source, layer, date, row_, col_, v, seq): only the touched (source, date) partitions are rewritten.
 
         The new state of a partition depends on its old files, so it is written
-        beside them first and then moved over them: a lost executor leaves the cube as it was.
+        to a folder of this write first and then over them. The second step is
+        whole for each partition, not over all of them; if it breaks off, or
+        leaves another number of rows, the staged folder stays and the write can
+        be run again, which gives the same state.
         """
         self._check()
         touched = new.select("source", "date").distinct()
         old = self.read_all().join(F.broadcast(touched) if touched.limit(10_001).count() <= 10_000 else touched, ["source", "date"], "left_semi")
-        stage = f"{self.path}/_staged"
+        stage = f"{self.path}/_staged-{uuid.uuid4().hex}"
         merged = masked_upsert(old, new, KEYS)
         shard = F.struct(F.floor(F.col("row_") / SHARD), F.floor(F.col("col_") / SHARD), "row_", "col_")
         merged.repartition("source", "date", F.floor(F.col("row_") / SHARD)).sortWithinPartitions("source", "date", shard).write.mode("overwrite").parquet(stage)
-        self.spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "date").parquet(f"{self.path}/cube")
+        staged = self.spark.read.schema(merged.schema).parquet(stage)
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "date").parquet(f"{self.path}/cube")
         self.spark.catalog.refreshByPath(f"{self.path}/cube")
-
-    def read(self, source: str, bbox: tuple[float, float, float, float] | None = None, start: str | None = None, end: str | None = None, event: str | None = None) -> DataFrame:
-        """Decoded pixels of a source: by box and inclusive dates (open ends allowed), or by an event's bookmark."""
+        parts = F.broadcast(touched) if touched.limit(10_001).count() <= 10_000 else touched
+        there = self.read_all().join(parts, ["source", "date"], "left_semi").count()
+        if there != (due := staged.count()):
+            raise RuntimeError(f"the cube's partitions hold {there} rows, not {due}; the staged ones are in {stage}")
+        fs.delete(self.spark, stage)
+
+    def read(self, source: str, bbox: tuple[float, float, float, float] | None = None, start: str | None = None, end: str | None = None, event: str | None = None, tiles: list[tuple[int, int]] | None = None) -> DataFrame:
+        """Decoded pixels of a source: by box and inclusive dates (open ends allowed), by ten-degree tiles (h, v), or by an event's bookmark."""
         if event is not None:
-            if bbox or start or end:
+            if bbox or start or end or tiles:
                 raise ValueError("an event fixes the box and the dates")
             mark = self.bookmarks().where((F.col("event_id") == event) & (F.col("source") == source)).head()
             if mark is None:
@@ -111,6 +120,11 @@ class Cube:
             out = out.where(F.col("date") <= F.lit(end).cast("date"))
         if bbox:
             out = out.where(in_window(*index_window(*bbox)))
+        if tiles is not None:
+            if bbox:
+                raise ValueError("a box and tiles exclude each other")
+            side = ROWS // 18
+            out = out.where(reduce(or_, (in_window(v * side, (v + 1) * side, h * side, (h + 1) * side) for h, v in tiles), F.lit(False)))
         return out.withColumn("value", F.when(F.col("v") != NODATA, F.col("v") * F.lit(0.01)))
 
     def bookmarks(self) -> DataFrame:
@@ -119,9 +133,11 @@ class Cube:
     def bookmark(self, event: str, source: str, bbox: tuple[float, float, float, float], dates: list) -> None:
         """Records an event; its dates are joined with those recorded before."""
         new = self.spark.createDataFrame([(event, source, *map(float, bbox), dates)], self.bookmarks().schema)
-        both = self.bookmarks().unionByName(new).groupBy("event_id", "source").agg(*(F.last(c).alias(c) for c in ("west", "south", "east", "north")), F.array_sort(F.array_distinct(F.flatten(F.collect_list("dates")))).alias("dates"))
-        rows = self.spark.createDataFrame(both.collect(), self.bookmarks().schema)  # a few rows an event
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/bookmarks")
+        both = self.bookmarks().withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1))).groupBy("event_id", "source")
+        rows = both.agg(*(F.max_by(c, "_new").alias(c) for c in ("west", "south", "east", "north")), F.array_sort(F.array_distinct(F.flatten(F.collect_list("dates")))).alias("dates"))
+        stage = f"{self.path}/_bookmarks-{uuid.uuid4().hex}"
+        rows.coalesce(1).write.parquet(stage)
+        fs.swap(self.spark, stage, f"{self.path}/bookmarks")
 
     def dates(self, source: str) -> DataFrame:
         return self.read_all().where(F.col("source") == source).select("date").distinct()
@@ -129,6 +145,10 @@ class Cube:
     def sources(self) -> DataFrame:
         return self.read_all().select("source").distinct()
 
+    def events(self) -> DataFrame:
+        """(event_id, sources) of the bookmarks."""
+        return self.bookmarks().groupBy("event_id").agg(F.array_sort(F.collect_set("source")).alias("sources"))
+
     def gaps(self, source: str, year: int) -> DataFrame:
         """Runs of days of the year without data."""
         return islands(prefill(self.spark, year).join(self.dates(source), "date", "left_anti"))

@@ -36,15 +36,26 @@ def documents(rows: DataFrame, href: str = "cube") -> DataFrame:
     return rows.select("id", F.to_json(body).alias("body"))
 
 
+#: Fixed values of the SAR extension for these scenes.
+SAR = {"sar:instrument_mode": "IW", "sar:frequency_band": "C", "sar:center_frequency": 5.405, "sar:product_type": "GRD", "sar:observation_direction": "right"}
+
+
+def sar_properties(patches: DataFrame, polarisations: dict[str, str]) -> DataFrame:
+    """patches with a map of SAR properties; their polarisations are those that the band names (bands: array<string>) stand for, in the dictionary's order."""
+    have = F.array(*(F.when(F.array_contains("bands", band), F.lit(name)) for band, name in polarisations.items()))
+    fixed = [x for k, v in SAR.items() for x in (F.lit(k), F.lit(str(v)))]
+    return patches.withColumn("properties", F.map_concat(F.create_map(*fixed), F.create_map(F.lit("sar:polarizations"), F.array_join(F.filter(have, lambda x: x.isNotNull()), ","))))
+
+
 def write_catalogue(rows: DataFrame, uri: str) -> None:
     documents(rows).write.mode("overwrite").json(uri)
 
 
-def write_index(rows: DataFrame, uri: str) -> None:
-    """Items as Parquet; an index without items is an error."""
+def write_index(rows: DataFrame, uri: str, href: str | None = None) -> None:
+    """Items as Parquet, with the href of their cube; an index without items is an error."""
     if rows.limit(1).count() == 0:
         raise ValueError("there are no items to export")
-    rows.write.mode("overwrite").parquet(uri)
+    (rows.withColumn("href", F.lit(href)) if href else rows).write.mode("overwrite").parquet(uri)
 
 
 def scenes(patches: DataFrame) -> DataFrame:

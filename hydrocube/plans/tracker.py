@@ -8,6 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.order import before
 from ..operators.relational import complete_dates
 
 CHUNK_DAYS = 31
@@ -57,9 +58,7 @@ def recent_failures(tracker: DataFrame, n: int = 5) -> DataFrame:
 
 def validate_axis(axis: DataFrame, year: int, expected_days: int) -> DataFrame:
     """Checks (name, passed) of a year's axis (i, date): sorted, whole, and within the year."""
-    from pyspark.sql import Window
-
-    back = axis.withColumn("before", F.lag("date").over(Window.orderBy("i"))).agg(F.count_if(F.col("date") <= F.col("before")).alias("n"))
+    back = before(axis, "i", "date").agg(F.count_if(F.col("date") <= F.col("_before")).alias("n"))
     one = axis.agg((F.countDistinct("date") == expected_days).alias("whole"), F.coalesce(F.bool_and(F.year("date") == year), F.lit(True)).alias("in_year"))
     return back.select(F.lit("sorted").alias("name"), (F.col("n") == 0).alias("passed")).unionByName(one.select(F.expr("stack(2, 'whole', whole, 'in_year', in_year) AS (name, passed)")))
 

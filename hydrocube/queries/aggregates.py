@@ -79,6 +79,12 @@ def a11(spark, sf):
     return out.withColumn("water_fraction", F.round("water_fraction", 9))
 
 
+@query("a11_cloud_fraction", "SELECT round(avg(coalesce(c / nullif(n, 0), 0)), 9) AS cloud_fraction FROM (SELECT date, count(*) FILTER (viirs_code = 30) AS c, count(*) FILTER (viirs_code NOT IN (0, 1)) AS n FROM {obs} GROUP BY date)")
+def a11b(spark, sf):
+    out = rd.mean_cloud_fraction(view(spark, sf, "obs"), "date", C("viirs_code") == 30, ~C("viirs_code").isin(0, 1))
+    return out.select(F.round("cloud_fraction", 9).alias("cloud_fraction"))
+
+
 @query("a12_modis_temporal", """WITH d AS (SELECT row_, col_, CASE WHEN modis_code <> 255 THEN (modis_code = 3)::INT END AS f, (modis_code = 255)::INT AS x FROM {obs}),
  m AS (SELECT row_, col_, x FROM (SELECT row_, col_, x, row_number() OVER (PARTITION BY row_, col_ ORDER BY count(*) DESC, x) AS k FROM d GROUP BY row_, col_, x) WHERE k = 1)
  SELECT row_, col_, round(avg(f), 6) AS flood_fraction, any_value(m.x) AS exclusion_mask FROM d JOIN m USING (row_, col_) GROUP BY row_, col_""")
@@ -96,6 +102,18 @@ def _items(spark, sf):
     return view(spark, sf, "obs").select("date", "row_", "col_", "seq", ok("gfm_flood").alias("flood"), ok("gfm_water").alias("water"), ((C("gfm_flood") != 255) | (C("gfm_water") != 255)).cast("int").alias("valid"), C("gfm_ref").alias("reference"), C("gfm_flags").alias("flags"), ok("gfm_likelihood").cast("double").alias("likelihood"))
 
 
+@query("a13_native_temporal", f"""SELECT row_, col_, coalesce(max(nullif(gfm_flood, 255)), 255) AS ensemble_flood_extent, coalesce(max(nullif(gfm_ref, 255)), 255) AS reference_water_mask, coalesce(bit_or(nullif(gfm_flags, 255)), 255) AS advisory_flags, coalesce(max(nullif(gfm_likelihood, 255)), 255) AS ensemble_likelihood FROM {{obs}} {BY}""")
+def a13b(spark, sf):
+    named = view(spark, sf, "obs").withColumnsRenamed({"gfm_flood": "ensemble_flood_extent", "gfm_ref": "reference_water_mask", "gfm_flags": "advisory_flags", "gfm_likelihood": "ensemble_likelihood"})
+    return rd.gfm_temporal(named, ["row_", "col_"], native=True)
+
+
+@query("a13_cloud_fraction", f"SELECT row_, round(1 - count(w) / count(*), 9) AS cloud_fraction FROM (SELECT row_, col_, CASE WHEN sum(valid) > 0 THEN sum(water) / sum(valid) END AS w FROM {_GFM_ITEMS} {BY}) GROUP BY row_")
+def a13c(spark, sf):
+    out = rd.missing_fraction(rd.gfm_temporal(_items(spark, sf), ["row_", "col_"]), C("water_fraction"), ["row_"])
+    return out.select("row_", F.round("cloud_fraction", 9).alias("cloud_fraction"))
+
+
 @query("a13_gfm_temporal", f"SELECT row_, col_, round(CASE WHEN sum(valid) > 0 THEN sum(water) / sum(valid) END, 6) AS water_fraction, coalesce(max(nullif(reference, 255)), 255) AS reference_water FROM {_GFM_ITEMS} {BY}")
 def a13(spark, sf):
     out = rd.accumulate(_items(spark, sf), ["row_", "col_"]).withColumnRenamed("reference", "reference_water_mask")
@@ -298,13 +316,13 @@ def _cells(spark, sf):
 @query("r02_bilinear", f"""WITH c AS {_CELLS}, o AS (SELECT unnest(generate_series(-2, 3)) AS k), w AS (SELECT k, greatest(1 - abs((k + 0.5) / 2 - 0.5), 0) AS w FROM o)
  SELECT row_, col_, round(sum(w * v) / sum(w), 6) AS v FROM (SELECT row_ * 2 + a.k AS row_, col_ * 2 + b.k AS col_, a.w * b.w AS w, v FROM c, w a, w b WHERE v IS NOT NULL AND a.w * b.w > 0) WHERE row_ BETWEEN 0 AND 15 AND col_ BETWEEN 0 AND 15 GROUP BY row_, col_""")
 def r02_bilinear(spark, sf):
-    return rs.interpolated(_cells(spark, sf), 2).select(C("row_").cast("long").alias("row_"), C("col_").cast("long").alias("col_"), F.round("v", 6).alias("v"))
+    return rs.interpolated(_cells(spark, sf), 2, shape=(8, 8)).select(C("row_").cast("long").alias("row_"), C("col_").cast("long").alias("col_"), F.round("v", 6).alias("v"))
 
 
 @query("r02_cubic", f"""WITH c AS {_CELLS}, o AS (SELECT unnest(generate_series(-4, 5)) AS k), d AS (SELECT k, abs((k + 0.5) / 2 - 0.5)::DOUBLE AS d FROM o), w AS (SELECT k, CASE WHEN d < 1 THEN 1.5 * d ** 3 - 2.5 * d ** 2 + 1 WHEN d < 2 THEN -0.5 * d ** 3 + 2.5 * d ** 2 - 4 * d + 2 ELSE 0 END AS w FROM d)
  SELECT row_, col_, round(sum(w * v) / sum(w), 6) AS v FROM (SELECT row_ * 2 + a.k AS row_, col_ * 2 + b.k AS col_, a.w * b.w AS w, v FROM c, w a, w b WHERE v IS NOT NULL AND a.w * b.w <> 0) WHERE row_ BETWEEN 0 AND 15 AND col_ BETWEEN 0 AND 15 GROUP BY row_, col_""")
 def r02_cubic(spark, sf):
-    return rs.interpolated(_cells(spark, sf), 2, method="cubic").select(C("row_").cast("long").alias("row_"), C("col_").cast("long").alias("col_"), F.round("v", 6).alias("v"))
+    return rs.interpolated(_cells(spark, sf), 2, method="cubic", shape=(8, 8)).select(C("row_").cast("long").alias("row_"), C("col_").cast("long").alias("col_"), F.round("v", 6).alias("v"))
 
 
 @query("r03_nodata_rules", "SELECT row_ // 4 AS trow, col_ // 4 AS tcol, coalesce(max(nullif(gfm_ref, 255)), 255) AS gfm_ref FROM {obs} GROUP BY ALL")

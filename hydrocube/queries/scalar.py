@@ -110,11 +110,25 @@ def p15(spark, sf):
     return both.select(C("a.event_id").alias("a"), C("b.event_id").alias("b"), grid.meets_closed(box("a"), box("b")).alias("closed"), grid.meets_open(box("a"), box("b")).alias("open_"), grid.bbox_area(*box("a")).alias("area"))
 
 
-@query("p16_event_validation", """SELECT event_id, (west BETWEEN -180 AND 180 AND e BETWEEN -180 AND 180 AND south BETWEEN -90 AND 90 AND n BETWEEN -90 AND 90 AND west < e AND south < n) AS valid
- FROM (SELECT *, east - CASE WHEN event_id % 4 = 0 THEN 20 ELSE 0 END AS e, north + CASE WHEN event_id % 7 = 0 THEN 100 ELSE 0 END AS n FROM {aoi})""")
+# boxes of no width, crossing the dateline, out of range and upside down, and dates that run backwards
+_BOXES = """(SELECT o_orderkey AS id, CAST(o_custkey % 37 AS DOUBLE) * 10 - 180 AS w, CAST(o_custkey % 41 AS DOUBLE) * 5 - 100 AS s, CAST(o_orderkey % 37 AS DOUBLE) * 10 - 180 AS e, CAST(o_orderkey % 43 AS DOUBLE) * 5 - 110 AS n,
+ CAST(o_orderdate AS DATE) AS d0, DATE '1998-01-01' AS d1 FROM orders)"""
+
+
+def _boxes(spark, sf):
+    d = lambda x: x.cast("double")
+    k, c = C("o_orderkey"), C("o_custkey")
+    return table(spark, sf, "orders").select(k.alias("id"), (d(c % 37) * 10 - 180).alias("w"), (d(c % 41) * 5 - 100).alias("s"), (d(k % 37) * 10 - 180).alias("e"), (d(k % 43) * 5 - 110).alias("n"), C("o_orderdate").cast("date").alias("d0"), F.to_date(F.lit("1998-01-01")).alias("d1"))
+
+
+@query("p15_bbox_validity", f"SELECT id, NOT (w < -180 OR w > 180 OR e < -180 OR e > 180 OR s < -90 OR s > 90 OR n < -90 OR n > 90 OR w > e OR s > n) AS valid FROM {_BOXES}")
+def p15b(spark, sf):
+    return _boxes(spark, sf).select("id", grid.valid_bbox(C("w"), C("s"), C("e"), C("n")).alias("valid"))
+
+
+@query("p16_event_validation", f"SELECT id, NOT (w < -180 OR w > 180 OR e < -180 OR e > 180 OR s < -90 OR s > 90 OR n < -90 OR n > 90 OR (w > e AND NOT (w > 0 AND e < 0)) OR s > n OR d1 < d0) AS valid FROM {_BOXES}")
 def p16(spark, sf):
-    broken = view(spark, sf, "aoi").withColumn("e", C("east") - F.when(C("event_id") % 4 == 0, 20).otherwise(0)).withColumn("n", C("north") + F.when(C("event_id") % 7 == 0, 100).otherwise(0))
-    return broken.select("event_id", grid.valid_bbox(C("west"), C("south"), C("e"), C("n")).alias("valid"))
+    return _boxes(spark, sf).select("id", grid.valid_event(*(C(x) for x in ("w", "s", "e", "n", "d0", "d1"))).alias("valid"))
 
 
 @query("p17_tile_id_validity", "SELECT p_partkey, regexp_matches(upper(replace(p_brand, '#', '_')), '^[A-Z0-9_]{4,32}$') AS as_id, regexp_matches(p_name, '^[A-Z0-9_]{4,32}$') AS as_name FROM part")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import base64
 import json
+import uuid
+from collections.abc import Callable
+from datetime import date
 
 import numpy as np
 import pandas as pd
@@ -11,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import require_columns, schema
+from . import files
+from .retry import retried
 
 POINTER = "version https://git-lfs"
 
@@ -47,9 +51,7 @@ def reject_pointer(spark: SparkSession, uri: str) -> str:
 
 def load_bookmarks(spark: SparkSession, uri: str) -> DataFrame:
     """Bookmarks, or an empty typed table where there is no file."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
-    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-    return spark.read.schema(schema("bookmarks")).parquet(uri) if there else spark.createDataFrame([], schema("bookmarks"))
+    return spark.read.schema(schema("bookmarks")).parquet(uri) if files.exists(spark, uri) else spark.createDataFrame([], schema("bookmarks"))
 
 
 def add_bookmark(bookmarks: DataFrame, new: DataFrame, overwrite: bool = False) -> DataFrame:
@@ -129,20 +131,76 @@ def scan_outputs(spark: SparkSession, folder: str) -> DataFrame:
 
 def write_manifest(spark: SparkSession, uri: str, run_id: str, body: dict) -> str:
     """An immutable JSON manifest; a name that is taken gets -2, -3 and so on."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     name, k = run_id, 1
-    while True:
-        path = jvm.org.apache.hadoop.fs.Path(f"{uri.rstrip('/')}/{name}.json")
-        if not path.getFileSystem(conf).exists(path):
-            break
+    while files.exists(spark, f"{uri.rstrip('/')}/{name}.json"):
         k += 1
         name = f"{run_id}-{k}"
-    out = path.getFileSystem(conf).create(path, False)
-    out.write(bytearray(json.dumps(body, sort_keys=True, default=str).encode()))
-    out.close()
+    files.write_text(spark, f"{uri.rstrip('/')}/{name}.json", json.dumps(body, sort_keys=True, default=str))
     return f"{name}.json"
 
 
-def cached_name(url: str) -> str:
-    """A URL-safe file name for a download."""
-    return base64.urlsafe_b64encode(url.encode()).decode().rstrip("=")
+def save_bookmarks(bookmarks: DataFrame, uri: str) -> None:
+    """Replaces the bookmarks as a whole, once the new ones are written."""
+    spark, staged = bookmarks.sparkSession, f"{uri.rstrip('/')}-{uuid.uuid4().hex}"
+    bookmarks.coalesce(1).write.parquet(staged)
+    files.swap(spark, staged, uri, spark.read.parquet(staged).count())
+
+
+def scan_patches(spark: SparkSession, uri: str) -> DataFrame:
+    """A patch catalogue, exported to Parquet; a pointer in its place is an error."""
+    for name in files.names(spark, uri):
+        if name.endswith(".parquet"):
+            reject_pointer(spark, f"{uri.rstrip('/')}/{name}")
+    return spark.read.parquet(uri)
+
+
+def search_day(spark: SparkSession, search: Callable[[date], list[dict]], days: list[date], attempts: int = 5, wait: float = 1.0) -> DataFrame:
+    """Rows of the gfm catalogue for whole days of an item API, one task a day, with retries; items without a tile or a box are left out.
+
+    search(day) gives STAC items as dictionaries; it is pickled to the executors.
+    """
+
+    form = schema("gfm_catalogue")
+    names = form.names
+
+    def rows(frames):
+        for frame in frames:
+            for day in frame["day"]:
+                found = []
+                for item in retried(lambda: search(day), attempts, wait, on=(Exception,)):
+                    tile, box = (item.get("properties") or {}).get("Equi7Tile"), item.get("bbox")
+                    if tile and box:
+                        found.append((day.isoformat(), tile, item["id"], item.get("href"), *map(float, box[:4])))
+                yield pd.DataFrame(found, columns=names)
+
+    asked = spark.createDataFrame([(d,) for d in days], "day date").repartition(max(len(days), 1), "day")
+    return asked.mapInPandas(rows, form)
+
+
+def zip_members(spark: SparkSession, uri: str, suffix: str = ".tif") -> DataFrame:
+    """(path, member, content): the first member of each archive under a folder whose name ends so, by name."""
+    import io
+    import zipfile
+
+    def rows(frames):
+        for frame in frames:
+            out = []
+            for path, content in zip(frame["path"], frame["content"]):
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    named = sorted(n for n in z.namelist() if n.lower().endswith(suffix))
+                    if not named:
+                        raise FileNotFoundError(f"{path} holds no {suffix} member")
+                    out.append((path, named[0], z.read(named[0])))
+            yield pd.DataFrame(out, columns=["path", "member", "content"])
+
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", True).load(uri)
+    return found.select("path", "content").mapInPandas(rows, "path string, member string, content binary")
+
+
+def open_indexed(spark: SparkSession, index: str, item: str) -> DataFrame:
+    """The pixels of an index's item, read by its source and date from the cube that its href names."""
+    rows = spark.read.parquet(index).where(F.col("id") == item).limit(2).collect()
+    if len(rows) != 1:
+        raise KeyError(f"the index holds {len(rows) or 'no'} items {item!r}")
+    row = rows[0]
+    return spark.read.parquet(row.href).where((F.col("source") == row.source) & (F.col("date") == F.lit(row.date)))

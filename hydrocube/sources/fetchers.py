@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from abc import ABC, abstractmethod
+from datetime import date
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from .retry import retried
+
 _FETCHERS: dict[str, type[DataSource]] = {}
 
 
@@ -33,6 +39,47 @@ def use_fetchers(spark: SparkSession) -> None:
         spark.dataSource.register(kind)
 
 
+class Backend(ABC):
+    """Where a source's granules are listed and fetched: what a listing fetcher asks of each backend."""
+
+    @abstractmethod
+    def location(self, day: date) -> str:
+        """The place of a day's listing."""
+
+    @abstractmethod
+    def entries(self, location: str) -> list[str]:
+        """The names in a listing."""
+
+    @abstractmethod
+    def matching(self, tile: str, entries: list[str]) -> str | None:
+        """The name of a tile's granule among a listing's, if it is there."""
+
+    @abstractmethod
+    def url(self, location: str, name: str) -> str:
+        """Where a granule is fetched from."""
+
+    def years(self) -> set[int] | None:
+        """The years that are published, or None where that is not known."""
+        return None
+
+
+def listed(spark: SparkSession, backend: Backend, days: list[date], tiles: list[str], attempts: int = 5, wait: float = 1.0) -> DataFrame:
+    """(date, tile, url) of the granules that a backend lists; a day's listing is read once, in one task, with retries."""
+    years = backend.years()
+
+    def rows(frames):
+        for frame in frames:
+            found = []
+            for day in frame["day"]:
+                place = backend.location(day)
+                names = retried(lambda: backend.entries(place), attempts, wait, on=(Exception,))
+                found += [(day, t, backend.url(place, n)) for t in tiles if (n := backend.matching(t, names)) is not None]
+            yield pd.DataFrame(found, columns=["date", "tile", "url"])
+
+    asked = [(d,) for d in days if years is None or d.year in years]
+    return spark.createDataFrame(asked, "day date").repartition(max(1, len(asked)), "day").mapInPandas(rows, "date date, tile string, url string")
+
+
 @register_fetcher
 class CalendarFetcher(DataSource):
     """Expected granules by rule: one row for each date and ten-degree tile, a partition for each date.

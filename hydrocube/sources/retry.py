@@ -37,6 +37,26 @@ def looks_like_html(head: bytes) -> bool:
     return start.startswith((b"<!doctype html", b"<html"))
 
 
+def download(url: str, folder: str, open_url: Callable[[str, str | None], tuple[bytes | None, str | None]], attempts: int = 5, wait: float = 1.0) -> Path:
+    """A URL's file in the cache. open_url(url, etag) gives (content, etag), or (None, etag) where nothing changed; a page is an error and is not kept."""
+    path = cache_path(folder, url)
+    mark = path.with_name(path.name + ".etag")
+    held = mark.read_text() if path.exists() and mark.exists() else None
+    if path.exists() and held is None:
+        return path
+    content, etag = retried(lambda: open_url(url, held), attempts, wait)
+    if content is not None:
+        if looks_like_html(content[:512]):
+            raise ValueError(f"{url} gave a page, not a file")
+        path.parent.mkdir(parents=True, exist_ok=True)
+        part = path.with_name(f"{path.name}.{os.getpid()}.part")
+        part.write_bytes(content)
+        part.replace(path)
+    if etag:
+        mark.write_text(etag)
+    return path
+
+
 @contextmanager
 def year_lock(folder: str, year: int, stale_after: float = 6 * 3600) -> Iterator[None]:
     """An exclusive lock for a year's update; one whose process is gone or that is old is taken over."""

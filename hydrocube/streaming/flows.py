@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -32,46 +33,54 @@ def track_stream(results: DataFrame, consume: Callable[[DataFrame], None], mark:
     return results.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _first_open(tasks: DataFrame) -> DataFrame:
+    """One row: the first date with a task that is neither done nor failed, or null."""
+    return tasks.agg(F.min(F.when(~F.coalesce(F.col("status").isin("DONE", "FAILED"), F.lit(False)), F.col("date"))).alias("_open"))
+
+
 def released(tasks: DataFrame) -> DataFrame:
-    """Batch form of ordered release: tasks done on dates before which every date is settled (done or failed)."""
-    settled = tasks.groupBy("date").agg(F.min(F.col("status").isin("DONE", "FAILED").cast("int")).alias("s"), F.max(F.col("status").isNull().cast("int")).alias("open"))
-    first_open = settled.agg(F.min(F.when((F.col("s") == 0) | (F.col("open") == 1) | F.col("s").isNull(), F.col("date"))).alias("_open"))
-    return tasks.crossJoin(F.broadcast(first_open)).where((F.col("status") == "DONE") & (F.col("_open").isNull() | (F.col("date") < F.col("_open")))).drop("_open")
+    """Batch form of ordered release: done tasks of dates before which every date is settled, all its tasks done or failed."""
+    first = F.broadcast(_first_open(tasks))  # one row
+    return tasks.crossJoin(first).where((F.col("status") == "DONE") & (F.col("_open").isNull() | (F.col("date") <= F.col("_open")))).drop("_open")
+
 
+def drained(tasks: DataFrame) -> DataFrame:
+    """What a run's end releases besides: done tasks behind a date that never settled, to be taken in the order of dates."""
+    return tasks.crossJoin(F.broadcast(_first_open(tasks))).where((F.col("status") == "DONE") & (F.col("date") > F.col("_open"))).drop("_open")
 
-def ordered_release(results: DataFrame, expected: dict[str, int]) -> DataFrame:
-    """Streaming form: (date, n_done) of a stream (run, date, status), a date released once all earlier expected ones are settled.
 
-    expected: the run's dates and their numbers of tasks. State is one count for each date.
+def ordered_release(results: DataFrame, expected: dict[str, list[str]]) -> DataFrame:
+    """Streaming form: done tasks of a stream (run, date, task_id, status), each once all earlier expected dates are settled.
+
+    expected: the run's dates and their task ids; other tasks are passed over. A
+    task that is retried, or replayed, counts once, and is released once, even
+    where a later failure arrives. State holds ids of the run's tasks and no more.
     """
     days = sorted(expected)
+    known = {task: day for day, tasks in expected.items() for task in tasks}
 
     def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        count, done, at = ({}, {}, 0) if not state.exists else _load(state.get)
+        at, seen, held, gone = json.loads(state.get[0]) if state.exists else (0, {}, {}, {})
         for f in frames:
-            for d, s in zip(f["date"], f["status"]):
-                count[d] = count.get(d, 0) + 1
-                done[d] = done.get(d, 0) + (s == "DONE")
-        out = []
-        while at < len(days) and count.get(days[at], 0) >= expected[days[at]]:
-            out.append((key[0], days[at], done.get(days[at], 0)))
+            for task, status in zip(f["task_id"], f["status"]):
+                day = known.get(task)
+                if day is None or status not in ("DONE", "FAILED"):
+                    continue
+                if status == "DONE" and task not in gone.get(day, ()):
+                    held.setdefault(day, {})[task] = 1
+                if days.index(day) >= at:
+                    seen.setdefault(day, {})[task] = 1
+        while at < len(days) and len(seen.get(days[at], ())) >= len(set(expected[days[at]])):
+            seen.pop(days[at], None)
             at += 1
-        state.update((_dump(count), _dump(done), at))
-        yield pd.DataFrame(out, columns=["run", "date", "n_done"])
-
-    return results.groupBy("run").applyInPandasWithState(step, "run string, date string, n_done int", "count string, done string, at int", "append", GroupStateTimeout.NoTimeout)
-
-
-def _dump(d: dict) -> str:
-    import json
-
-    return json.dumps({k: int(v) for k, v in d.items()})
-
-
-def _load(state: tuple) -> tuple[dict, dict, int]:
-    import json
-
-    return json.loads(state[0]), json.loads(state[1]), state[2]
+        free = sorted(d for d in held if at >= len(days) or d <= days[at])
+        out = [(key[0], day, task) for day in free for task in sorted(held[day])]
+        for day in free:
+            gone.setdefault(day, {}).update(held.pop(day))
+        state.update((json.dumps((at, seen, held, gone)),))
+        yield pd.DataFrame(out, columns=["run", "date", "task_id"])
+
+    return results.groupBy("run").applyInPandasWithState(step, "run string, date string, task_id string", "body string", "append", GroupStateTimeout.NoTimeout)
 
 
 def windowed_counts(events: DataFrame, window: str = "1 day", late: str = "2 days") -> DataFrame:
