@@ -1,21 +1,25 @@
 """Exact top-k search by inner product over an impact-ordered index.
 
-Vectors are held in blocks. A block's postings (vector, value), one list for
-each dimension, are ordered by descending impact, the absolute value, and cut
-into segments of equal quantised impact. For each query the segments are
-processed from the highest impact down, adding value * weight to the vectors'
-scores. What is still unread can change no score by more than the weights
-times the largest unread impact of each dimension; when that bound proves that
-all but a few vectors are out of the best k, processing stops and the few
-possible members are scored exactly. Each block's best k are then merged.
+Vectors are held in blocks. A block's postings (vector, dimension, value) are
+ordered by descending impact, the absolute value, and cut into segments of equal
+quantised impact. For each query the segments are processed from the highest
+impact down, adding value * weight to the scores of the vectors they name. What
+is still unread can change no score by more than the weights times the largest
+unread impact of each dimension: that bound proves which vectors cannot be among
+the best k, and the others, the possible members, are scored exactly. A query
+stops reading when its possible members are few, or when reading on would cost
+more than scoring them; as the proof decides who is scored, the result is exact
+wherever it stops. Each block's best k are then merged.
 
 Queries meet vectors as blocks too: a block of queries is sent once to each
-block of vectors, so neither side is broadcast or gathered in one place.
+block of vectors, so neither side is broadcast or gathered in one place; a task
+takes the query blocks of one block of vectors in turn and builds its index once.
 
 Defined cases: vectors that are null or hold a null or non-finite component,
 and rows with a null id, take no part; only vectors of the query's length are
 scored; rows with the query's id are not its candidates; of repeated query ids
-the row with the smallest vector asks; ties go to the smaller id.
+the row with the smallest vector asks; repeated candidate ids are candidates
+each; ties go to the smaller id; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK, QUERY_BLOCK, LEVELS = 4096, 512, 16
+#: Queries that are added to scores together, and how many times an exact product's work a posting costs.
+TOGETHER, COST = 32, 16
 
 
 def quantised(column: Column, scale: int = 1024) -> Column:
@@ -41,12 +47,25 @@ class Index:
         self.vectors = vectors
         impact = np.abs(vectors)
         top = int(impact.max()) if impact.size else 0
-        shift = max(0, top.bit_length() - LEVELS.bit_length() + 1)
-        level = impact >> shift
-        self.segments = [np.where(level == k, vectors, 0).astype(np.float64) for k in range(int(level.max(initial=0)), -1, -1)]
-        # the largest impact of each dimension that is unread after each segment
-        self.unread = [np.where(level < k, impact, 0).max(axis=0) for k in range(int(level.max(initial=0)), -1, -1)]
+        level = impact >> max(0, top.bit_length() - LEVELS.bit_length() + 1)
+        vec, dim = np.nonzero(vectors)
+        of, value = level[vec, dim], vectors[vec, dim].astype(np.float64)
+        order = np.argsort(-of, kind="stable")  # by level, and by vector within one
+        vec, dim, of, value = vec[order], dim[order], of[order], value[order]
+        ends = np.append(np.flatnonzero(np.diff(of)) + 1, len(of)) if len(of) else []
+        self.segments = [(vec[a:b], dim[a:b], value[a:b]) for a, b in zip([0, *ends], ends)]
+        # the largest impact of each dimension that is unread before and after each segment
+        self.unread = [np.where(level < k, impact, 0).max(axis=0, initial=0) for k in [int(level.max(initial=0)) + 1, *(int(of[e - 1]) for e in ends)]]
         self.exact = vectors.shape[1] * max(top, 1)
+        self.read = 0  # postings added to scores so far, times queries
+
+    def _add(self, score: np.ndarray, weights: np.ndarray, segment: tuple, rows: np.ndarray) -> None:
+        vec, dim, value = segment
+        first = np.flatnonzero(np.diff(vec, prepend=-1))
+        for at in range(0, len(rows), TOGETHER):
+            some = rows[at : at + TOGETHER]
+            score[np.ix_(some, vec[first])] += np.add.reduceat(value * weights[np.ix_(some, dim)], first, axis=1)
+        self.read += len(vec) * len(rows)
 
     def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """(places, scores) of each query's possible members, scored exactly. own: for each query, which places are not its candidates."""
@@ -55,26 +74,26 @@ class Index:
             scores = [self.vectors.astype(object) @ q.astype(object) for q in queries]
             return [(np.flatnonzero(~o), s[~o]) for s, o in zip(scores, own)]
         weights, score = queries.astype(np.float64), np.zeros((m, n))
-        out: list = [None] * m
-        open_ = np.arange(m)
-        for at, (segment, unread) in enumerate(zip(self.segments, self.unread)):
-            score[open_] += weights[open_] @ segment.T
-            last = at == len(self.segments) - 1
-            if not last and at % 2 == 0:
-                continue
-            bound = np.abs(weights[open_]) @ unread
-            still = []
-            for q, b in zip(open_, bound):
-                row = np.where(own[q], -np.inf, score[q])
-                least = np.partition(row, n - k)[n - k] - b if n > k else -np.inf
-                possible = np.flatnonzero((row + b >= least) & ~own[q])
-                if last or len(possible) <= 4 * k:
-                    out[q] = (possible, self.vectors[possible] @ queries[q])
-                else:
-                    still.append(q)
-            open_ = np.array(still, int)
-            if not len(open_):
+        possible, reading, spent = ~own, np.arange(m), 0
+        for segment, unread in zip(self.segments, self.unread[1:]):
+            # reading on pays while it costs less than scoring the possible members
+            left = possible[reading].sum(axis=1)
+            spent += COST * len(segment[0])
+            reading = reading[(left > 4 * k) & (spent <= left * queries.shape[1])]
+            if not len(reading):
                 break
+            self._add(score, weights, segment, reading)
+            bound = (np.abs(weights[reading]) @ unread)[:, None]
+            if n > k:
+                held = np.where(own[reading], -np.inf, score[reading])
+                least = np.partition(held, n - k, axis=1)[:, n - k, None] - bound
+                possible[reading] &= held + bound >= least
+        many = possible.sum(axis=1) * 8 > n
+        whole = weights[many] @ self.vectors.T.astype(np.float64) if many.any() else None
+        out, row = [], np.cumsum(many) - 1
+        for q in range(m):
+            places = np.flatnonzero(possible[q])
+            out.append((places, whole[row[q]][places].astype(np.int64) if many[q] else self.vectors[places] @ queries[q]))
         return out
 
 
@@ -96,12 +115,16 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     asking = asking.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).drop("part")
 
     def search(batches):
+        at, ids, index = None, None, None
         for batch in batches:
             for r in range(batch.num_rows):
-                ids, matrix = _matrix(batch.column("held").slice(r, 1))
+                key = (batch.column("block")[r].as_py(), batch.column("width")[r].as_py())
+                if key != at:  # the rows of a block stand together
+                    ids, matrix = _matrix(batch.column("held").slice(r, 1))
+                    at, index = key, Index(matrix)
                 qids, weights = _matrix(batch.column("asking").slice(r, 1))
                 own = qids[:, None] == ids[None, :]
-                found = Index(matrix).search(weights, own, k)
+                found = index.search(weights, own, k)
                 out_q, out_v, out_s = [], [], []
                 for q, (places, scores) in zip(qids, found):
                     best = np.lexsort((ids[places], -scores.astype(np.int64)))[:k]
@@ -110,6 +133,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 
     from pyspark.sql import Window
 
-    best = held.join(asking, ["block", "width"]).select("held", "asking").mapInArrow(search, "query_id long, vec_id long, score long")
+    met = held.join(asking, ["block", "width"]).select("block", "width", "held", "asking").sortWithinPartitions("block", "width")
+    best = met.mapInArrow(search, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

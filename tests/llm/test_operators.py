@@ -427,15 +427,32 @@ def test_top_k_equals_brute_force(spark):
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
-def test_index_stops_only_on_proof():
+def test_index_stops_only_on_proof(monkeypatch):
     rng = np.random.default_rng(3)
-    vectors = (rng.standard_normal((500, 16)) ** 3 * 1024).astype(np.int64)
-    own = np.zeros((4, 500), bool)
-    for q, (places, scores) in zip(vectors[:4], topk.Index(vectors).search(vectors[:4], own, 5)):
-        every = vectors @ q
-        assert set(np.argsort(-every, kind="stable")[:5]) <= set(places) and (every[places] == scores).all()
+    for cost in (topk.COST, 0):  # 0: read on to the last segment, or until few members are possible
+        monkeypatch.setattr(topk, "COST", cost)
+        for power in (1, 5):
+            vectors = (rng.standard_normal((500, 16)) ** power * 256).astype(np.int64)
+            own = np.zeros((4, 500), bool)
+            own[0, 7] = True
+            index = topk.Index(vectors)
+            assert sum(len(s[0]) for s in index.segments) == np.count_nonzero(vectors)
+            found = index.search(vectors[:4], own, 5)
+            for q, o, (places, scores) in zip(vectors[:4], own, found):
+                every = np.where(o, -(1 << 60), vectors @ q)
+                assert set(np.argsort(-every, kind="stable")[:5]) <= set(places) and (every[places] == scores).all() and not o[places].any()
+            if power == 5 and not cost:
+                assert min(len(p) for p, _ in found) < 100 and 0 < index.read < 4 * np.count_nonzero(vectors)
     huge = np.array([[1 << 60, 1], [3, 4]], np.int64)
     assert [int(x) for x in topk.Index(huge).search(huge[:1], np.zeros((1, 2), bool), 1)[0][1]] == [(1 << 120) + 1, (3 << 60) + 4]
+    assert topk.Index(np.zeros((3, 2), np.int64)).search(np.zeros((1, 2), np.int64), np.zeros((1, 3), bool), 2)[0][0].tolist() == [0, 1, 2]
+
+
+def test_top_k_with_repeated_ids_and_clashing_columns(spark):
+    rows = [(0, [1, 2]), (0, [1, 1]), (5, [3, 3]), (5, [3, 3]), (6, [0, 9]), (7, None)]
+    df = spark.createDataFrame(rows, "vec_id long, v array<long>").withColumns({c: F.lit("clash") for c in ("block", "width", "rank", "score", "held", "asking", "part")})
+    got = [(r["rank"], r.vec_id, r.score) for r in topk.top_k(df, df.where("vec_id = 0"), k=3).orderBy("rank").collect()]
+    assert got == [(1, 6, 9), (2, 5, 6), (3, 5, 6)]
 
 
 def test_token_counts(spark):
