@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK, QUERY_BLOCK, LEVELS = 4096, 512, 16
+BLOCK, QUERY_BLOCK, STEPS = 4096, 512, 2
 #: Queries that are added to scores together, and how many times an exact product's work a posting costs.
 TOGETHER, COST = 32, 16
 
@@ -47,7 +47,7 @@ class Index:
         self.vectors = vectors
         impact = np.abs(vectors)
         top = int(impact.max()) if impact.size else 0
-        level = impact >> max(0, top.bit_length() - LEVELS.bit_length() + 1)
+        level = np.floor(STEPS * np.log2(np.maximum(impact, 1))).astype(np.int64)  # impacts quantised by their logarithms
         vec, dim = np.nonzero(vectors)
         of, value = level[vec, dim], vectors[vec, dim].astype(np.float64)
         order = np.argsort(-of, kind="stable")  # by level, and by vector within one
