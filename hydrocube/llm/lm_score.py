@@ -8,25 +8,33 @@ symbols of their own; all others are dealt to bucket symbols by hash, and such a
 word's log-probability also has that of one word among the bucket's distinct
 ones, counted over the whole corpus.
 
-The network is trained in numpy on the windows of all positions: each partition
-makes a pass over its own from the same start, and the parameters are averaged, weighted by windows, in groups until one is left. So what is
-gathered grows with the corpus, and nothing is gathered in one place but the
-parameters, whose size is fixed.
-
-Defined cases: a null or empty text has no tokens, score 0 and a null mean; places beyond a
-text's ends are a symbol of their own; other columns are ignored.
+The network is trained in numpy on the windows of all positions. Texts are dealt
+by hash into shards of SHARD_BYTES on average; each shard is one pass from the
+same start, over its texts in the order of doc_id and text, in steps of STEP
+windows. The shards' parameters are averaged, weighted by windows, in groups in
+the order of shards until one is left. So what is gathered grows with the
+corpus, nothing is gathered in one place but parameters of fixed size, and the
+model does not depend on how the table is partitioned, ordered or batched.
+
+Defined cases: a null or empty text has no tokens, score 0 and a null mean;
+places beyond a text's ends are a symbol of their own; repeated rows and rows
+with a null doc_id are scored and trained on as often as they occur; without any
+word the network is the untrained one; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import Chunk, chunks, mix
+from .textkit import Chunk, chunks, lean, small_batches
 
-COMMON, CLUSTERS, MEMBERS, WIDTH, SHARE, GROUP = 1024, 32, 64, 16, 1, 32
+COMMON, CLUSTERS, MEMBERS, WIDTH, GROUP = 1024, 32, 64, 16, 32
+SHARD_BYTES, STEP = 16 << 20, 1 << 16
 SYMBOLS = CLUSTERS * MEMBERS
 BUCKETS = SYMBOLS - COMMON
 EDGE = SYMBOLS
@@ -139,6 +147,7 @@ def windows(c: Chunk, symbols: np.ndarray) -> np.ndarray:
     return out
 
 
+@lean
 def _counts(batches):
     for batch in batches:
         hashes = [c.word_hashes() for c in chunks(batch.column("text"), lower=True)]
@@ -150,7 +159,7 @@ def vocabulary(docs: DataFrame) -> tuple[Vocabulary, DataFrame]:
     """Symbols from the counts of all words, and those counts."""
     from .blobs import written
 
-    counts = written(docs.select("text").mapInArrow(_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    counts = written(small_batches(docs).select("text").mapInArrow(_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
     common = [r.word for r in counts.orderBy(F.desc("n"), "word").limit(COMMON).collect()]
     top = np.array(common, np.int64).view(np.uint64)
     # bucket numbers as unsigned remainders: the buckets are a power of two
@@ -162,38 +171,76 @@ def vocabulary(docs: DataFrame) -> tuple[Vocabulary, DataFrame]:
     return Vocabulary(top, distinct), counts
 
 
-def fit(docs: DataFrame, share: int = SHARE) -> tuple[Network, Vocabulary]:
-    words, _ = vocabulary(docs)
+class _Passes:
+    """Networks of the shards that go by, each trained in steps of a fixed number of windows."""
+
+    def __init__(self, step: int):
+        self.step, self.shard, self.net, self.seen, self.near, self.symbol = step, None, None, 0, [], []
+
+    def feed(self, shard: int, near: np.ndarray, symbol: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if shard != self.shard:
+            yield from self.end()
+            self.shard, self.net, self.seen = shard, Network(), 0
+        self.near.append(near)
+        self.symbol.append(symbol)
+        if sum(map(len, self.symbol)) >= self.step:
+            self._train(whole=False)
+
+    def _train(self, whole: bool) -> None:
+        near, symbol = np.concatenate(self.near), np.concatenate(self.symbol)
+        ends = range(self.step, len(symbol) + 1, self.step)
+        for at in [*ends, *([len(symbol)] if whole and len(symbol) % self.step else [])]:
+            first = (at - 1) // self.step * self.step
+            self.net.train(near[first:at], symbol[first:at])
+            self.seen += at - first
+        rest = len(symbol) if whole else len(symbol) // self.step * self.step
+        self.near, self.symbol = [near[rest:]], [symbol[rest:]]
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        if self.net is not None:
+            self._train(whole=True)
+            if self.seen:
+                yield pa.RecordBatch.from_pydict({"shard": pa.array([self.shard], pa.int64()), "seen": pa.array([self.seen], pa.int64()), "flat": pa.array([self.net.flat.tobytes()], pa.binary())})
+            self.net = None
+
+
+def _mean(table: pa.Table) -> pa.Table:
+    table = table.sort_by("shard")
+    seen = np.array(table.column("seen").to_pylist(), np.float64)
+    mean = sum(np.frombuffer(f, np.float32) * (n / seen.sum()) for f, n in zip(table.column("flat").to_pylist(), seen))
+    return pa.table({"shard": pa.array([table.column("shard")[0].as_py() // GROUP], pa.int64()), "seen": pa.array([int(seen.sum())], pa.int64()), "flat": pa.array([mean.astype(np.float32).tobytes()], pa.binary())})
+
+
+def fit(docs: DataFrame, shard_bytes: int = SHARD_BYTES, step: int = STEP) -> tuple[Network, Vocabulary]:
+    """The network and the symbols, from every window of every text."""
+    from .blobs import Tables
+
+    tables, (words, _) = Tables(), vocabulary(docs)
     shared = docs.sparkSession.sparkContext.broadcast(words)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.length("text") > 0)
+    dealt = texts.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(size // shard_bytes + 1)))
 
+    @lean
     def train(batches):
-        net, seen = Network(), 0
+        passes = _Passes(step)
         for batch in batches:
+            of = batch.column("shard").to_numpy()
             for c in chunks(batch.column("text"), lower=True):
-                h = c.word_hashes()
-                symbol = shared.value.symbols(h)
-                near = windows(c, symbol)
-                if share > 1:
-                    pick = mix(h + np.arange(len(h), dtype=np.uint64)) % np.uint64(share) == 0
-                    near, symbol = near[pick], symbol[pick]
-                if len(symbol):
-                    net.train(near, symbol)
-                    seen += len(symbol)
-        if seen:
-            yield pa.RecordBatch.from_pydict({"seen": pa.array([seen], pa.int64()), "flat": pa.array([net.flat.tobytes()], pa.binary())})
-
-    def average(table: pa.Table) -> pa.Table:
-        seen = np.array(table.column("seen").to_pylist(), np.float64)
-        mean = sum(np.frombuffer(f, np.float32) * (n / seen.sum()) for f, n in zip(table.column("flat").to_pylist(), seen))
-        return pa.table({"seen": pa.array([int(seen.sum())], pa.int64()), "flat": pa.array([mean.astype(np.float32).tobytes()], pa.binary())})
-
-    from .blobs import written
-
-    parts = written(docs.select("text").mapInArrow(train, "seen long, flat binary"))
-    while (n := parts.count()) > 1:
-        groups = -(-n // GROUP)
-        parts = written(parts.groupBy(F.pmod(F.xxhash64("flat"), F.lit(groups))).applyInArrow(lambda table: average(table), "seen long, flat binary"))
+                symbol = shared.value.symbols(c.word_hashes())
+                near, shard = windows(c, symbol), np.repeat(of[c.first : c.last], c.n_words)
+                ends = np.append(np.flatnonzero(np.diff(shard)) + 1, len(shard)) if len(shard) else []
+                for first, last in zip([0, *ends], ends):
+                    yield from passes.feed(int(shard[first]), near[first:last], symbol[first:last])
+        yield from passes.end()
+
+    form = "shard long, seen long, flat binary"
+    ordered = small_batches(dealt).repartition("shard").sortWithinPartitions("shard", "doc_id", "text").select("shard", "text")
+    parts = tables.write(ordered.mapInArrow(train, form))
+    while parts.count() > 1:
+        parts = tables.write(parts.groupBy(F.expr(f"shard DIV {GROUP}")).applyInArrow(_mean, form))
     found = parts.head()
+    tables.drop()
     return Network(np.frombuffer(found.flat, np.float32) if found else None), words
 
 
@@ -201,6 +248,7 @@ def score(docs: DataFrame, network: Network, words: Vocabulary) -> DataFrame:
     """(doc_id, n_tokens, log_likelihood, mean): the summed conditional log-probabilities."""
     shared = docs.sparkSession.sparkContext.broadcast((network.flat, words))
 
+    @lean
     def run(batches):
         flat, vocab = shared.value
         net = Network(flat)
@@ -215,4 +263,4 @@ def score(docs: DataFrame, network: Network, words: Vocabulary) -> DataFrame:
                 mean = pa.array(total / np.maximum(c.n_words, 1), pa.float64(), mask=c.n_words == 0)
                 yield pa.RecordBatch.from_pydict({"doc_id": ids, "n_tokens": pa.array(c.n_words, pa.int64()), "log_likelihood": pa.array(total), "mean": mean})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double, mean double")
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double, mean double")

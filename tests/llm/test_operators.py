@@ -480,7 +480,7 @@ def test_lm_scores(spark):
     order = [f"t{k}" for k in range(50)]
     rows = [(k, " ".join(order[(s + j) % 50] for j in range(60))) for k, s in enumerate(rng.choices(range(50), k=300))] + [(900, None), (901, ""), (902, " ".join(rng.sample(order * 2, 60)))]
     docs = frame(spark, rows)
-    network, words = lm_score.fit(docs, share=1)
+    network, words = lm_score.fit(docs)
     got = {r.doc_id: r for r in lm_score.score(docs, network, words).collect()}
     assert got[900].log_likelihood == got[901].log_likelihood == 0 and got[900].mean is None and got[0].n_tokens == 60
     assert np.mean([got[k].mean for k in range(300)]) > got[902].mean + 0.1
@@ -501,6 +501,42 @@ def test_lm_default_trains_on_all_windows(spark):
     assert len(symbols) == 3000 and np.allclose(network.flat, whole.flat, atol=1e-5)
 
 
+def test_lm_scores_equal_brute_force(spark):
+    rng = random.Random(14)
+    words_ = [f"k{j}" for j in range(1500)]
+    rows = [(k, " ".join(rng.choices(words_, k=rng.randint(1, 60)))) for k in range(120)] + [(None, "k1 k2"), (3, "k1 k2"), (200, "k7 " * 4000)]
+    docs = frame(spark, rows)
+    net, vocab = lm_score.fit(docs)
+    got = sorted((r.n_tokens, r.log_likelihood) for r in lm_score.score(docs, net, vocab).collect())
+
+    def plain(text):
+        w = text.lower().split()
+        h = np.concatenate([c.word_hashes() for c in chunks(pa.array([" ".join(w)]))])
+        s, total = vocab.symbols(h), 0.0
+        soft = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+        for k in range(len(s)):
+            near = [s[k + d] if 0 <= k + d < len(s) else lm_score.EDGE for d in lm_score.SIDES]
+            hid = np.tanh(sum(net.embed[j, n].astype(float) for j, n in enumerate(near)) + net.bias)
+            c, m = divmod(int(s[k]), lm_score.MEMBERS)
+            total += np.log(soft(hid @ net.top + net.top_bias)[c]) + np.log(soft(hid @ net.low[c] + net.low_bias[c])[m]) + vocab.within[s[k]]
+        return len(s), total
+
+    want = sorted(plain(t) for _, t in rows)
+    assert [n for n, _ in got] == [n for n, _ in want] and np.allclose([x for _, x in got], [x for _, x in want], rtol=1e-4)
+
+
+def test_lm_model_does_not_depend_on_partitions(spark):
+    rng = random.Random(15)
+    rows = [(k % 90, " ".join(rng.choices([f"m{j}" for j in range(300)], k=rng.randint(0, 200)))) for k in range(100)] + [(None, "m1 m2"), (None, "m3"), (91, None)]
+    asked, flats = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"), []
+    for order, parts, batch in ((1, 1, 10000), (-1, 4, 3), (1, 7, 11)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        network, words = lm_score.fit(frame(spark, rows[::order]).repartition(parts), shard_bytes=1 << 12, step=500)
+        flats.append(network.flat)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", asked)
+    assert all((f == flats[0]).all() for f in flats) and (flats[0] != lm_score.Network().flat).any()
+
+
 def test_chunks_find_the_words_of_each_text():
     rows = ["", None, "a  b\tc\n", "é x y", "z" * 3000, " q "]
     for limit in (1, 100, 1 << 20):
