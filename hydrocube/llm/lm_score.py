@@ -68,7 +68,7 @@ class Network:
                 out[part] += _log_softmax(h[part] @ self.low[c] + self.low_bias[c], member[part])
         return out
 
-    def train(self, near: np.ndarray, symbol: np.ndarray, rate: float = 0.15, size: int = 512) -> None:
+    def train(self, near: np.ndarray, symbol: np.ndarray, rate: float = 0.2, size: int = 1024) -> None:
         """One pass of gradient steps."""
         order = np.random.default_rng(len(symbol)).permutation(len(symbol))
         sides = np.arange(len(SIDES)) * (SYMBOLS + 1)
