@@ -146,7 +146,7 @@ class Tokens:
             f.append("hex")
         if body[:2] in (b"sk", b"pk", b"gh", b"ey", b"AK"):
             f.append(f"head={body[:2].decode()}")
-        f += [f"cue behind={any(w and w.endswith(_CUES) for w in behind)}", f"plain behind={any(w in _PLAIN for w in behind)}"]
+        f += [f"cue behind={(told := any(w and w.endswith(_CUES) for w in behind))}", f"cue behind={told},size={min(size // 4, 4)}", f"plain behind={any(w in _PLAIN for w in behind)}"]
         d, m = self.file[self.doc[k]]
         return [*f, f"file digits={int(min(d * 20, 4))}", f"file marks={int(min(m * 10, 5))}"]
 
@@ -155,7 +155,8 @@ def _lines(count: int, rng: random.Random) -> list[tuple[str, list[tuple[int, in
     """Lines made by rule, with the spans of their secrets."""
     alnum, out = string.ascii_letters + string.digits, []
     pick = lambda chars, low, high: "".join(rng.choices(chars, k=rng.randint(low, high)))
-    words = lambda: " ".join(pick("etaoinshrdlu", 2, 9) for _ in range(rng.randint(1, 8)))
+    short = lambda: rng.choice([pick("etaoinshrdlu", 1, 4) + pick("0123456789", 1, 3), pick("etaoin", 1, 2) + pick("0123456789", 1, 2) + pick("abc", 1, 2), pick("0123456789", 1, 6), pick(string.ascii_uppercase, 1, 3) + pick("0123456789", 1, 3)])
+    words = lambda: " ".join(short() if rng.random() < 0.2 else pick("etaoinshrdlu", 2, 9) for _ in range(rng.randint(1, 8)))
     for _ in range(count):
         secret = rng.choice([pick("0123456789abcdef", 16, 20), pick(alnum, 16, 48), pick("0123456789abcdef", 24, 64), pick(alnum + "+/", 32, 60) + rng.choice(["", "="]), "AKIA" + pick(string.ascii_uppercase + string.digits, 16, 16), "ghp_" + pick(alnum, 36, 36), "sk-" + pick(alnum, 24, 48), "eyJ" + pick(alnum, 20, 30) + "." + pick(alnum, 20, 40), pick(alnum, 10, 16), pick(string.ascii_letters, 12, 23)])
         cue = rng.choice(["password", "secret", "api_key", "token", "Authorization: Bearer", "client_secret", "private_key", "AWS_SECRET_ACCESS_KEY", "pwd", "auth"])
@@ -165,7 +166,7 @@ def _lines(count: int, rng: random.Random) -> list[tuple[str, list[tuple[int, in
             head = f"{words()} " if rng.random() < 0.7 else ""
             text, spans = f"{head}{secret} {behind} {rng.choice(_CUES[:8])}", [(len(head), len(head) + len(secret))]
         elif kind > 0.95:
-            text, spans = f"{words()} {pick('0123456789', 8, 16)} {behind} {rng.choice(_PLAIN)}", []
+            text, spans = rng.choice([f"{words()} {pick('0123456789', 8, 16)} {behind} {rng.choice(_PLAIN)}", f"{words()} {short()} {behind} {rng.choice(_CUES[:8])}", f"{words()} {short()} {rng.choice(_CUES)} {words()}"]), []
         elif kind < 0.3:
             head = f"{words()} {cue}{rng.choice(['=', ': ', ' = ', '='])}{rng.choice(['', chr(34), chr(39)])}"
             text, spans = f"{head}{secret} {words()}", [(len(head), len(head) + len(secret))]

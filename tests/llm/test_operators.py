@@ -319,6 +319,11 @@ def test_secret_words_on_both_sides():
     field = secrets.trained()
     found = lambda text: [text.encode()[s:e].decode() for c in chunks(pa.array([text])) for s, e in secrets.tagged_spans(c, field)[0]]
     assert found("Qx7Lp92mKd83 is the password") == ["Qx7Lp92mKd83"] and found("123456789012 is the order") == []
+    rng = random.Random(3)
+    for _ in range(200):  # short tokens beside a cue are plain
+        w = [f"w{rng.randrange(40)}{rng.choice('abc')}" for _ in range(30)]
+        w.insert(rng.randrange(30), 'password="Zk39xQ77pLm2"')
+        assert found(" ".join(w)) == ["Zk39xQ77pLm2"]
     near, far = (next(chunks(pa.array([f"the password{' ' * n}abcd1234efgh"]))) for n in (1, 400))
     assert [f for f in secrets.Tokens(near).features(2, True) if "cue" in f] == [f for f in secrets.Tokens(far).features(2, True) if "cue" in f]
 
