@@ -3,9 +3,9 @@
 An item's windows are its runs of `width` consecutive words; an item of fewer
 words is one window. A window occurs in a document only if all its words do,
 so one word of each window, its rarest, is the whole prefix that has to be
-joined (overlap needed = window size, prefix length = 1). Rarity is ordered by
-how many windows hold the word, then by length, longer first, then by the word.
-The documents' words stream once past a broadcast table of the prefix words; a
+joined (overlap needed = window size, prefix length = 1). Rarity is how often the
+word occurs in all documents, counted in a pass of its own, for the items' words
+only; ties go by length, longer first, then by the word. The documents' words stream once past a broadcast table of the prefix words; a
 match gives the window's place by the word's offset, the bounds 0 <= start and
 start + size <= n_words prune, and the words themselves are then compared.
 
@@ -39,15 +39,22 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
-def window_table(items: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(body, size, key, offset, items): each distinct window, its rarest word and who has it."""
+def occurrences(docs: DataFrame, words: DataFrame, small: bool) -> DataFrame:
+    """(word, n): how often each of the words, lower-cased, occurs in the documents."""
+    said = docs.select(F.explode(words_of(F.col("text"))).alias("word")).select(F.lower("word").alias("word"))
+    return said.join(F.broadcast(words) if small else words, "word", "left_semi").groupBy("word").agg(F.count("*").alias("n"))
+
+
+def window_table(items: DataFrame, docs: DataFrame, width: int = WIDTH, small: bool = True) -> DataFrame:
+    """(body, size, key, offset, items): each distinct window, its rarest word among the documents' and who has it."""
     words = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words_of(ascii_lower(F.col("text"))).alias("w")).where(F.size("w") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - (width - 1)))
     windows = words.select("item", "w", F.explode(starts).alias("at")).select("item", F.slice("w", F.col("at"), F.lit(width)).alias("w"))
     windows = windows.groupBy("w").agg(F.sort_array(F.collect_set("item")).alias("items"))
     each = windows.select("w", F.posexplode("w").alias("offset", "word"))
-    common = each.groupBy("word").agg(F.countDistinct("w").alias("n"))
-    rarest = each.join(common, "word").groupBy("w").agg(F.min(F.struct("n", -F.length("word"), "word", "offset")).alias("least"))
+    common = occurrences(docs, each.select(F.lower("word").alias("word")).distinct(), small).select(F.col("word").alias("lower"), "n")
+    known = each.join(common, F.lower("word") == F.col("lower"), "left")
+    rarest = known.groupBy("w").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), -F.length("word"), "word", "offset")).alias("least"))
     return windows.join(rarest, "w").select(
         F.array_join("w", "\n").alias("body"), F.size("w").alias("size"), F.lower("least.word").alias("key"), F.col("least.offset").alias("offset"), "items"
     )
@@ -60,8 +67,8 @@ def find_overlap(docs: DataFrame, items: DataFrame, width: int = WIDTH, broadcas
     the items with occurring windows, sorted as strings; n_hit: words inside
     any occurrence.
     """
-    table = window_table(items, width)
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    table = window_table(items, docs, width, small=total <= broadcast_bytes)
     parts = int(total // broadcast_bytes) + 1
     # each document also sends one empty word, which a row without a window meets: it carries n_words
     end = table.sparkSession.range(1).select(F.lit(None).cast("string").alias("body"), F.lit(0).alias("size"), F.lit("").alias("key"), F.lit(0).alias("offset"), F.array().cast("array<string>").alias("items"))
