@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SHARD_BYTES, BUCKET_BYTES = 8 << 20, 1 << 30
+SHARD_BYTES, BUCKET_BYTES = 8 << 20, 256 << 20
 
 _DTYPES = (np.uint8, np.uint16, np.uint32, np.uint64)
 

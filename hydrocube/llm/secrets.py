@@ -13,7 +13,8 @@ over the short chains in between and plain prose costs a few byte masks. The fie
 fixed seed. Added spans never overlap base spans.
 
 Defined cases: a null text is an empty one (no spans); texts are scanned whole;
-offsets are code points, end exclusive; other columns are ignored.
+offsets are code points, end exclusive; repeated rows each give a row; other
+columns are kept, but for one named spans, which the new one replaces.
 """
 
 from __future__ import annotations

@@ -7,15 +7,17 @@ document and an earlier start) is removed, judged on the input.
 Two occurrences of a window at word positions i and j share an anchor: a short
 run of `anchor` words at the same offset in both whose positions lie in a
 difference cover modulo `period`. So only the cover positions, 4 of 13, are
-hashed and exchanged to find where repeats can be (step 1); the full windows
-around anchors that occur twice are then hashed with 96 bits and exchanged to
-find each one's first document (step 2). Both exchanges carry packed arrays
+hashed and exchanged to find where repeats can be (step 1); what extends from
+anchors that occur twice, all windows that can hold one of them, is then hashed
+with 96 bits, mixed every eight bytes of a word and by the place in the window,
+and exchanged to find each window's first document (step 2). Both exchanges carry packed arrays
 with one entry per shard and distinct hash, so a passage that a third of all
 documents share costs one entry per shard, never one per occurrence.
 
 Defined cases: a null or empty text has no words, and its kept text is empty;
-rows that share a doc_id count as the same place (neither is earlier); a null
-doc_id sorts after all others; other columns are ignored.
+of rows that share a doc_id none is earlier than another, whatever their starts;
+a null doc_id sorts after all others, and rows without one share it; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -81,18 +83,11 @@ class Shard:
         first = np.flatnonzero(new)
         self.one, self.two, self.group = one[first], two[first], np.cumsum(new) - 1
         self.at, self.first_doc, self.is_first = at, self.ids[doc[first]] if len(first) else np.zeros(0, np.int64), new
-        # an occurrence in a row of the same doc_id at the same start is the first one's equal, not later
+        # of rows that share the least doc_id none is earlier: the first occurrence in each of them stays
         if len(first) and len(np.unique(self.ids)) < len(self.ids):
-            start = self.at - self._doc_base()[doc]
-            head = first[self.group]
-            self.is_first = (self.ids[doc] == self.ids[doc[head]]) & (start == start[head])
-
-    def _doc_base(self) -> np.ndarray:
-        base, out = 0, []
-        for c, w in zip(self.parts, self.words):
-            out.append(c.word_doc_start + base)
-            base += len(w)
-        return np.concatenate(out)
+            own = new.copy()
+            own[1:] |= doc[1:] != doc[:-1]
+            self.is_first = own & (self.ids[doc] == self.ids[doc[first[self.group]]])
 
     def kept(self, elsewhere: np.ndarray) -> pa.Table:
         """Texts without the words of windows that start earlier, here or elsewhere."""
@@ -176,7 +171,7 @@ def remove_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
     if width <= PERIOD:
         raise ValueError(f"width must be over {PERIOD}")
     shards, buckets = shard_count(docs)
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
+    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)))
     by_shard = dealt.groupBy("shard")
 
     def anchors(key, table):

@@ -10,7 +10,8 @@ beginning in front; a word that the vocabulary cannot spell is one unknown
 token. Word counts are kept in a bounded table from one text to the next.
 
 Defined cases: null and empty texts have 0 tokens; texts are counted whole;
-other columns are ignored.
+repeated rows and rows with a null doc_id each give a row; other columns are
+ignored.
 """
 
 from __future__ import annotations

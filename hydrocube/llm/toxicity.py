@@ -13,7 +13,9 @@ The expected grade is the severity.
 
 Defined cases: null and empty texts have no words, and the severity of the
 intercepts alone; without labelled rows of both kinds every severity is 0; of
-several labels of a doc_id the largest counts; other columns are ignored.
+several labels of a doc_id the largest counts, and of several texts one; a null
+doc_id is graded, not learned from; repeated rows each give a row; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -23,8 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blobs import Tables
 from .quality import held_out
-from .textkit import Chunk, chunks
+from .textkit import Chunk, chunks, lean, small_batches
 
 SAMPLE, WORDS, GRADES, LEAST = 8192, 1500, 3, 2.0
 
@@ -46,30 +49,18 @@ def distinct_words(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     """Selected words, shared weights and ordered thresholds."""
 
-    def __init__(self, rows: list[np.ndarray], labels: np.ndarray, words: int = WORDS, rounds: int = 600):
-        self.words, self.weights, self.cuts = np.zeros(0, np.uint64), np.zeros(0), np.full(GRADES, 30.0)
+    def __init__(self, words: np.ndarray, z: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, rounds: int = 600):
+        """words: sorted hashes, z: how toxic each is, rows: each text's places in words."""
+        self.words, self.weights, self.cuts = words, np.zeros(len(words)), np.full(GRADES, 30.0)
         toxic = int(labels.sum())
         if not 0 < toxic < len(labels):
             return
-        flat, of = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        found, at = np.unique(flat, return_inverse=True)
-        bad = np.bincount(at, weights=labels[of].astype(float), minlength=len(found))
-        good = np.bincount(at, minlength=len(found)) - bad
-        clean = len(labels) - toxic
-        odds = np.log((bad + 0.5) / (toxic - bad + 0.5)) - np.log((good + 0.5) / (clean - good + 0.5))
-        z = odds / np.sqrt(1 / (bad + 0.5) + 1 / (good + 0.5))
-        order = np.argsort(-np.abs(z), kind="stable")
-        pick = np.sort(order[(np.abs(z) >= LEAST)[order] & (bad + good >= 3)[order]][:words])
-        column = np.full(len(found), -1)
-        column[pick] = np.arange(len(pick))
-        x = np.zeros((len(rows), len(pick)), np.float32)
-        keep = column[at] >= 0
-        x[of[keep], column[at[keep]]] = 1
-        strong = x @ (z[pick] > 0).astype(np.float32)
+        x = np.zeros((len(rows), len(words)), np.float32)
+        x[np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate(rows)] = 1
+        strong = x @ (z > 0).astype(np.float32)
         grade = np.zeros(len(rows), int)
         ranks = np.argsort(np.argsort(strong[labels == 1], kind="stable"), kind="stable")
         grade[labels == 1] = 1 + GRADES * ranks // toxic
-        self.words = found[pick]
         self._fit(x, grade, rounds)
 
     def _fit(self, x: np.ndarray, grade: np.ndarray, rounds: int, rate: float = 0.3, decay: float = 3e-4) -> None:
@@ -108,10 +99,12 @@ class Model:
         return 1 / (1 + np.exp(self.cuts[None, :] - score[:, None]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, words: int = WORDS) -> Model:
+    """A model of the labelled texts that are not held out. The driver gets `words` words, and of each sampled text its places among them."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
+    @lean
     def describe(batches):
         for batch in batches:
             at = 0
@@ -122,15 +115,41 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
                 at += part.num_rows
                 yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "y": part.column("y"), "words": pa.array([h[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())})
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")
-    rows = sorted(texts.mapInArrow(describe, "doc_id long, y int, words binary").groupBy("doc_id").agg(F.max("y").alias("y"), F.min("words").alias("words")).collect())  # `sample` rows at most
-    return Model([np.frombuffer(r.words, np.uint64) for r in rows], np.array([r.y for r in rows], int))
+    def each(batches):
+        for batch in batches:
+            for y, held in zip(batch.column("y").to_pylist(), batch.column("words")):
+                h = np.frombuffer(held.as_py(), np.int64)
+                yield pa.RecordBatch.from_pydict({"y": pa.array(np.full(len(h), y), pa.int64()), "word": pa.array(h)})
+
+    tables = Tables()
+    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")
+    described = tables.write(texts.mapInArrow(describe, "doc_id long, y int, words binary").groupBy("doc_id").agg(F.max("y").alias("y"), F.min("words").alias("words")))
+    n = described.agg(F.count("*").alias("all"), F.coalesce(F.sum("y"), F.lit(0)).alias("toxic")).first()
+    toxic, clean = n.toxic, n["all"] - n.toxic
+    said = described.mapInArrow(each, "y long, word long").groupBy("word").agg(F.sum("y").alias("bad"), (F.count("*") - F.sum("y")).alias("good"))
+    b, g = F.col("bad") + 0.5, F.col("good") + 0.5
+    z = (F.log(b / (toxic + 1 - b)) - F.log(g / (clean + 1 - g))) / F.sqrt(1 / b + 1 / g)
+    picked = said.withColumn("z", z).where((F.col("bad") + F.col("good") >= 3) & (F.abs("z") >= LEAST)).orderBy(F.desc(F.abs("z")), "word").limit(words).collect()
+    found = sorted((int(np.int64(r.word).view(np.uint64)), r.z) for r in picked)
+    names, odds = np.array([w for w, _ in found], np.uint64), np.array([x for _, x in found])
+
+    def places(batches):
+        for batch in batches:
+            out = []
+            for held in batch.column("words"):
+                out.append(np.flatnonzero(np.isin(names, np.frombuffer(held.as_py(), np.uint64))).astype(np.uint16).tobytes())
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "y": batch.column("y"), "at": pa.array(out, pa.binary())})
+
+    rows = sorted(described.mapInArrow(places, "doc_id long, y int, at binary").collect())  # `sample` rows of `words` places at most
+    tables.drop()
+    return Model(names, odds, [np.frombuffer(r.at, np.uint16) for r in rows], np.array([r.y for r in rows], int))
 
 
 def grade(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, severity, grade, toxic): the expected grade, the likeliest one, and whether grade 0 is the less likely."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @lean
     def run(batches):
         for batch in batches:
             at = 0
@@ -141,4 +160,4 @@ def grade(docs: DataFrame, model: Model) -> DataFrame:
                 at += len(over)
                 yield pa.RecordBatch.from_pydict({"doc_id": ids, "severity": pa.array(over.sum(axis=1)), "grade": pa.array(each.argmax(axis=1), pa.int32()), "toxic": pa.array(over[:, 0] >= 0.5)})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, severity double, grade int, toxic boolean")
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, severity double, grade int, toxic boolean")

@@ -2,6 +2,7 @@
 
 import array
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -70,6 +71,13 @@ def test_substring_dedup_same_id_and_null(spark):
     same = " ".join(f"a{k}" for k in range(30))
     got = sorted((r.doc_id is None, r.n_removed) for r in substring_dedup.remove_repeats(frame(spark, [(7, same), (7, same), (None, same)])).collect())
     assert got == [(False, 0), (False, 0), (True, 30)]
+    passage = " ".join(f"p{k}" for k in range(25))
+    rows = [(None, f"a {passage}"), (None, f"b b {passage}"), (None, f"c {passage} d {passage}"), (8, f"e {passage}"), (8, f"{passage} f"), (9, f"g {passage} {passage}"), (3, "x"), (3, "x " * 50)]
+    got = sorted((r.doc_id or 99, r.n_words, r.n_removed) for r in substring_dedup.remove_repeats(frame(spark, rows).repartition(5)).collect())
+    assert got == [(3, 1, 0), (3, 50, 49), (8, 26, 0), (8, 26, 0), (9, 51, 50), (99, 26, 25), (99, 27, 25), (99, 52, 50)]
+    alone = [r for r in rows if r[0] is None]
+    got = sorted((r.n_words, r.n_removed) for r in substring_dedup.remove_repeats(frame(spark, alone)).collect())
+    assert got == [(26, 0), (27, 0), (52, 25)]
 
 
 def jaccard_groups(rows):
@@ -417,6 +425,38 @@ def test_toxicity(spark):
     assert {r.toxic for r in toxicity.grade(docs, toxicity.fit(docs, labels.limit(0))).collect()} == {False}
 
 
+def test_toxicity_equals_brute_force(spark):
+    rows, docs, labels = labelled(spark, "toxic")
+    model = toxicity.fit(docs, labels)
+    texts_, want = dict(rows), {r.doc_id: r.toxic for r in labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").collect()}
+    learn = [k for k in want if zlib.crc32(str(k).encode()) % 4 != 2]
+    said = {}
+    for k in learn:
+        for w in set((texts_[k] or "").split()):
+            said.setdefault(w, [0, 0])[want[k]] += 1
+    clean, toxic = (sum(want[k] == y for k in learn) for y in (0, 1))
+    z = {w: (np.log((b + 0.5) / (toxic - b + 0.5)) - np.log((g + 0.5) / (clean - g + 0.5))) / np.sqrt(1 / (b + 0.5) + 1 / (g + 0.5)) for w, (g, b) in said.items()}
+    hashed = lambda w: int(next(chunks(pa.array([w]), lower=True, gap=toxicity.GAP)).word_hashes()[0])
+    assert {hashed(w) for w in z if abs(z[w]) >= toxicity.LEAST and sum(said[w]) >= 3} == set(model.words.tolist())
+    weight = dict(zip(model.words.tolist(), model.weights))
+    for r in toxicity.grade(docs, model).collect():
+        words_ = {hashed(w) for w in re.findall("[0-9A-Za-z]+", texts_.get(r.doc_id) or "")} if r.doc_id is not None else {hashed("w1"), hashed("w2")}
+        over = 1 / (1 + np.exp(model.cuts - sum(weight.get(h, 0.0) for h in words_)))
+        assert abs(r.severity - over.sum()) < 1e-6 and r.toxic == (over[0] >= 0.5)
+    assert (np.diff(model.cuts) > 0).all()
+
+
+def test_very_long_texts(spark):
+    long = "w1 w2 idiot " * 60000
+    rows, docs, labels = labelled(spark, "toxic")
+    more = frame(spark, [(5000, long), (5001, long)])
+    assert [r.toxic for r in toxicity.grade(more, toxicity.fit(docs, labels)).collect()] == [True, True]
+    _, docs, labels = labelled(spark, "quality")
+    assert len({r.score for r in quality.score(more, quality.fit(docs, labels)).collect()}) == 1
+    assert sorted((r.doc_id, r.n_removed) for r in substring_dedup.remove_repeats(more).collect()) == [(5000, 180000 - 3), (5001, 180000)]
+    assert {r.component_id for r in near_dup.near_duplicates(more).collect()} == {5000}
+
+
 def test_top_k_equals_brute_force(spark):
     rng = random.Random(6)
     rows = [(k, [rng.gauss(0, 1) for _ in range(8)]) for k in range(150)]
@@ -475,6 +515,22 @@ def test_token_counts(spark):
                     break
                 rest, n = rest[k:], n + 1
             assert made.count(word) == n
+    path = tokenizer_path("byte_bpe_50k.json")
+    rows = [(k, "".join(rng.choices(["the ", "Token", "ized ", "  ", "über", "12", "\n", "x", "ing", ", "], k=rng.randint(1, 40)))) for k in range(200)] + [(300, "a b"), (300, "a b"), (None, "c")]
+    vocabulary = set(json.loads(open(path, encoding="utf-8").read())["model"]["vocab"])
+    symbols = bpe.byte_symbols()
+
+    def plain(word: str) -> int:
+        rest, n = symbols[32] + "".join(symbols[b] for b in word.encode()), 0
+        while rest:
+            k = next((k for k in range(len(rest), 0, -1) if rest[:k] in vocabulary), 0)
+            if not k:
+                return 1
+            rest, n = rest[k:], n + 1
+        return n
+
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens) for r in token_count.count_tokens(frame(spark, rows), path).collect())
+    assert got == sorted((-1 if k is None else k, sum(map(plain, t.split()))) for k, t in rows)
     got = {r.doc_id: r.n_tokens for r in token_count.count_tokens(frame(spark, [(1, None), (2, ""), (3, "the the"), (4, "x" * 1000)]), tokenizer_path("byte_bpe_50k.json")).collect()}
     assert got[1] == got[2] == 0 and got[3] == 2 and got[4] > 1
     assert token_count.count_tokens(empty(spark), tokenizer_path("byte_bpe_50k.json")).count() == 0
