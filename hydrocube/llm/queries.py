@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import importlib.util
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,9 +9,10 @@ from . import bpe, decontaminate, lm_score, near_dup, quality, secrets, substrin
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
-    """The place of a public vocabulary file, from the package that holds them."""
-    found = importlib.util.find_spec("public_tokenizers")
-    return str(Path(found.origin).parent / name) if found else f"/opt/tokenizers/{name}"
+    """The place of a public vocabulary file, as the package that holds them tells it."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
