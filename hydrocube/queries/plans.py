@@ -192,7 +192,7 @@ def f05(spark, sf):
     return view(spark, sf, "catalogue").where(F.year("date").isin(1996, 1998)).agg(F.count("*").alias("n"))
 
 
-@query("f06_layer_lookup")
+@query("f06_layer_lookup", "SELECT * FROM (VALUES ('water_fraction', 'gfm', 'gfm', 'average'), ('raw', 'modis', 'modis', 'nearest'), ('shadow', 'modis', 'viirs', 'mode'), ('advisory_flags', 'viirs', 'gfm', 'nearest')) t(name, asked, found, resampling)")
 def f06(spark, sf):
     from ..layers import find_layer, resampling_for
 

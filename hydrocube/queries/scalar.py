@@ -96,7 +96,46 @@ def p13(spark, sf):
     return view(spark, sf, "obs").select("seq", px.legacy_quality(C("seq") % 2, (C("seq") % 5) / 10.0).alias("quality"))
 
 
-@query("p14_layer_catalogue")
+#: Every layer with its type, missing value, resampling, aggregation over time and inputs.
+_LAYERS = """(VALUES
+ ('viirs', 'raw', 'native', 'int', 1, 'nearest', 'mode', []::VARCHAR[]),
+ ('viirs', 'water_fraction', 'derived', 'double', NULL, 'average', 'nanmean', ['raw']),
+ ('viirs', 'flood_fraction', 'derived', 'double', NULL, 'average', 'nanmean', ['raw']),
+ ('viirs', 'exclusion_mask', 'derived', 'int', 0, 'mode', 'all_true', ['raw']),
+ ('viirs', 'reference_water', 'derived', 'int', 0, 'mode', 'majority', ['raw']),
+ ('viirs', 'cloud_mask', 'derived', 'int', 0, 'mode', 'mode', ['raw']),
+ ('viirs', 'snow_ice', 'derived', 'int', 0, 'mode', 'mode', ['raw']),
+ ('viirs', 'shadow', 'derived', 'int', 0, 'mode', 'mode', ['raw']),
+ ('modis', 'raw', 'native', 'int', 255, 'nearest', 'mode', []::VARCHAR[]),
+ ('modis', 'TotalCounts_1Day', 'native', 'int', 255, 'average', 'mean', []::VARCHAR[]),
+ ('modis', 'ValidCounts_1Day', 'native', 'int', 255, 'average', 'mean', []::VARCHAR[]),
+ ('modis', 'WaterCounts_1Day', 'native', 'int', 255, 'average', 'mean', []::VARCHAR[]),
+ ('modis', 'TotalCounts_2Day', 'native', 'int', 255, 'average', 'mean', []::VARCHAR[]),
+ ('modis', 'ValidCounts_2Day', 'native', 'int', 255, 'average', 'mean', []::VARCHAR[]),
+ ('modis', 'WaterCounts_2Day', 'native', 'int', 255, 'average', 'mean', []::VARCHAR[]),
+ ('modis', 'WaterCountsCS_2Day', 'native', 'int', 255, 'average', 'mean', []::VARCHAR[]),
+ ('modis', 'TotalCounts_3Day', 'native', 'int', 255, 'average', 'mean', []::VARCHAR[]),
+ ('modis', 'ValidCounts_3Day', 'native', 'int', 255, 'average', 'mean', []::VARCHAR[]),
+ ('modis', 'WaterCounts_3Day', 'native', 'int', 255, 'average', 'mean', []::VARCHAR[]),
+ ('modis', 'WaterCountsCS_3Day', 'native', 'int', 255, 'average', 'mean', []::VARCHAR[]),
+ ('modis', 'water_fraction', 'derived', 'double', NULL, 'average', 'nanmean', ['raw']),
+ ('modis', 'flood_fraction', 'derived', 'double', NULL, 'average', 'nanmean', ['raw']),
+ ('modis', 'exclusion_mask', 'derived', 'int', 0, 'mode', 'mode', ['raw']),
+ ('modis', 'reference_water', 'derived', 'int', 0, 'mode', 'mode', ['raw']),
+ ('modis', 'recurring_flood', 'derived', 'int', 0, 'mode', 'mode', ['raw']),
+ ('gfm', 'ensemble_flood_extent', 'native', 'int', 255, 'nearest', 'masked_max', []::VARCHAR[]),
+ ('gfm', 'ensemble_water_extent', 'native', 'int', 255, 'nearest', 'masked_max', []::VARCHAR[]),
+ ('gfm', 'reference_water_mask', 'native', 'int', 255, 'nearest', 'masked_max', []::VARCHAR[]),
+ ('gfm', 'exclusion_mask', 'native', 'int', 255, 'nearest', 'masked_max', []::VARCHAR[]),
+ ('gfm', 'ensemble_likelihood', 'native', 'int', 255, 'average', 'masked_max', []::VARCHAR[]),
+ ('gfm', 'advisory_flags', 'native', 'int', 255, 'nearest', 'masked_or', []::VARCHAR[]),
+ ('gfm', 'water_fraction', 'derived', 'double', NULL, 'average', 'nanmean', ['water_count', 'valid_count']),
+ ('gfm', 'flood_fraction', 'derived', 'double', NULL, 'average', 'nanmean', ['flood_count', 'valid_count']),
+ ('gfm', 'reference_water', 'derived', 'int', 255, 'nearest', 'masked_max', ['reference_water_mask'])
+) t(source, name, kind, dtype, nodata, resampling, aggregation, inputs)"""
+
+
+@query("p14_layer_catalogue", f"SELECT * FROM {_LAYERS}")
 def p14(spark, sf):
     return layer_table(spark)
 

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .retry import retried
+
 NODATA = 255
 #: Fixed values of the format: sizes of field types, and the tags used here.
 FIELD = {1: "B", 2: "c", 3: "H", 4: "I", 12: "d", 16: "Q"}
@@ -105,6 +107,34 @@ def read_rasters(spark: SparkSession, uri: str, glob: str = "*.tif") -> DataFram
     return files.mapInPandas(rows, PIXELS).withColumn("v", F.nanvl("v", F.lit(None).cast("double")))
 
 
+def load_item(items: DataFrame, item: str, bands: list[str], attempts: int = 3, wait: float = 1.0) -> DataFrame:
+    """An item's pixels (row_, col_ and the named bands) of a pixel table: only those columns and rows are read. The read is tried again where the store fails."""
+    missing = [b for b in bands if b not in items.columns]
+    if missing:
+        raise KeyError(f"the item has no bands {missing}")
+    found = items.where(F.col("item") == item).select("row_", "col_", *bands)
+    if not retried(lambda: found.limit(1).count(), attempts, wait, on=(Exception,)):
+        raise KeyError(f"no item {item!r}")
+    return found
+
+
+def cube_rows(rasters: DataFrame, source: str, layer: str | None = None) -> DataFrame:
+    """read_rasters' pixels as rows for Cube.write: the date and, without a given layer, the layer's name come from the file's, percents are kept as they are.
+
+    Files that lie on the canonical grid are shifted onto it; others have to go through resample.to_grid first and are an error here.
+    """
+    name = F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1)
+    day = F.try_to_timestamp(F.regexp_extract("path", r"(\d{8})[^/]*$", 1), F.lit("yyyyMMdd")).cast("date")
+    row, col = (F.lit(90.0) - F.col("north")) * 60, (F.col("west") + 180.0) * 60
+    fits = (F.abs(F.col("res") * 60 - 1) < 1e-6) & (F.abs(row - F.round(row)) < 1e-4) & (F.abs(col - F.round(col)) < 1e-4)
+    at = lambda c, start: F.when(fits, F.col(c) + F.round(start)).otherwise(F.raise_error(F.concat("path", F.lit(" is not on the grid")))).cast("int")
+    dated = rasters.where(day.isNotNull())
+    return dated.select(
+        F.lit(source).alias("source"), (F.lit(layer) if layer else F.regexp_replace(name, r"^.*?\d{8}_?", "")).alias("layer"), day.alias("date"), at("row_", row).alias("row_"), at("col_", col).alias("col_"),
+        F.coalesce(F.col("v").cast("int"), F.lit(NODATA)).alias("v"), F.xxhash64("path").alias("seq"),
+    )
+
+
 def checked(layer: Column, value: Column) -> Column:
     """A layer's value as it is stored: fractions 0-100 with nodata for missing ones, counts and codes as they are; a likelihood out of range is an error."""
     percent = F.coalesce(F.bround(100 * F.nanvl(value, F.lit(None).cast("double"))), F.lit(NODATA))

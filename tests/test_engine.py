@@ -307,6 +307,18 @@ def test_rasters_round_trip(spark, tmp_path):
     assert sorted(values(saved, "name")) == ["viirs_20240103_flags.tif", "viirs_20240103_valid_count.tif", "viirs_20240103_water_fraction.tif"]
     got = tiff.read_rasters(spark, f"file://{tmp_path}/out", "*water*").orderBy("row_", "col_").collect()
     assert [(r.row_, r.col_, r.v) for r in got] == [(0, 0, 50.0), (0, 1, None), (1, 0, None), (1, 1, None)] and abs(got[0].west - (-180 + 20 / 60)) < 1e-9
+    cube = cb.Cube(spark, f"file://{tmp_path}/cube")
+    cube.write(tiff.cube_rows(tiff.read_rasters(spark, f"file://{tmp_path}/out", "*water*"), "viirs"))
+    assert sorted(values(cube.read("viirs"), "layer", "date", "row_", "col_", "v")) == [("water_fraction", d, 10, 20, 50), ("water_fraction", d, 10, 21, 255), ("water_fraction", d, 11, 20, 255), ("water_fraction", d, 11, 21, 255)]
+    (tmp_path / "odd").mkdir()
+    (tmp_path / "odd/x_20240103_a.tif").write_bytes(tiff.encode(a, 10.0, 20.0, 0.5))
+    with pytest.raises(Exception, match="not on the grid"):
+        tiff.cube_rows(tiff.read_rasters(spark, f"file://{tmp_path}/odd"), "viirs").collect()
+    items = spark.createDataFrame([("i", 0, 0, 1, 2, 3)], "item string, row_ int, col_ int, b1 int, b2 int, b3 int")
+    assert tiff.load_item(items, "i", ["b3", "b1"], wait=0).columns == ["row_", "col_", "b3", "b1"]
+    for item, bands in (("none", ["b1"]), ("i", ["b9"])):
+        with pytest.raises(KeyError):
+            tiff.load_item(items, item, bands, wait=0)
     bad = pixels.withColumns({"layer": F.lit("ensemble_likelihood"), "v": F.lit(101.0)})
     with pytest.raises(Exception, match="likelihood"):
         tiff.as_rasters(bad, ["source"]).collect()
