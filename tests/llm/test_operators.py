@@ -500,6 +500,43 @@ def test_top_k_with_repeated_ids_and_clashing_columns(spark):
     assert got == [(1, 6, 9), (2, 5, 6), (3, 5, 6)]
 
 
+def test_top_k_sends_nothing_through_the_driver(spark):
+    rng = np.random.default_rng(8)
+    rows = [(k, rng.integers(-9, 9, 4).tolist()) for k in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    got = topk.top_k(df, df.where("vec_id % 3 = 0"), k=2)
+    assert got.count() == 200
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SinglePartition" not in plan and "Join" not in plan
+
+
+def test_spans_carry_the_score_of_the_kth_best_from_block_to_block(monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 64)
+    rng = np.random.default_rng(9)
+    for power, scale in ((1, 9), (1, 300), (5, 300), (3, 1 << 20), (1, 1 << 26)):  # exact in 32 bits, in 64, and in neither
+        matrix = (rng.standard_normal((500, 16)) ** power * scale).astype(np.int64)
+        matrix[100:140] = matrix[0]  # ties that reach over blocks
+        ids = rng.permutation(500) // 2  # each id twice
+        asks = [*range(0, 500, 7), *range(100, 140)]
+        span = topk.Span(ids, matrix)
+        row, found, score = span.best(ids[asks], matrix[asks], 5)
+        assert len(span.blocks) > 7
+        for q, a in enumerate(asks):
+            every = [int(s) for s in matrix.astype(object) @ matrix[a].astype(object)]
+            want = sorted((-s, int(i)) for s, i in zip(every, ids) if i != ids[a])[:5]
+            assert [(-int(s), int(i)) for s, i in zip(score[row == q], found[row == q])] == want
+    assert [len(x) for x in topk.Span(np.arange(3), matrix[:3]).best(np.arange(3), matrix[:3], 5)] == [6, 6, 6]
+
+
+def test_cells_hold_every_integer_and_length():
+    for values in ([[-32768, 5]], [[32767, -32767]], [[1 << 31, 0], [0, -1]], [[-(1 << 63), (1 << 63) - 1]], [[], []]):
+        matrix = np.array(values, np.int64).reshape(len(values), -1 if values[0] else 0)
+        ids, back = topk._unpacked(topk._packed(np.arange(len(matrix)) - 1, matrix))
+        assert ids.tolist() == list(range(-1, len(matrix) - 1)) and back.tolist() == matrix.tolist()
+        assert (np.abs(back) >= 0).all() or -(1 << 63) in matrix
+
+
 def test_token_counts(spark):
     rng = random.Random(1)
     for _ in range(100):
