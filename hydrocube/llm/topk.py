@@ -189,30 +189,32 @@ class Span:
     """Vectors of one length, in blocks with an index each."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.blocks = []
-        for a, b in zip([0, *(cuts := range(BLOCK // 8, len(ids), BLOCK))], [*cuts, len(ids)]):  # the first, which has no floor yet, is small
+        self.blocks, cuts = [], [0]
+        while cuts[-1] < len(ids):  # the first, which has no floor yet, is small, and the next ones grow as the floor does
+            cuts.append(min(len(ids), cuts[-1] + min(BLOCK, max(BLOCK // 8, cuts[-1]))))
+        for a, b in zip(cuts, cuts[1:]):
             order = np.argsort(ids[a:b], kind="stable")
             self.blocks.append((ids[a:b][order], Index(vectors[a:b][order])))
 
     def best(self, qids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, id, score) of each query's best k, in their order."""
-        row, found, score, floor = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.full(len(qids), -np.inf)
-        for ids, index in self.blocks:
+        best, floor, more = (np.zeros(0, np.int64),) * 3, np.full(len(qids), -np.inf), []
+        for n, (ids, index) in enumerate(self.blocks, 1):
             a, b = np.searchsorted(ids, qids, "left"), np.searchsorted(ids, qids, "right")
             own = np.repeat(np.arange(len(qids)), b - a)
             at = np.arange(len(own)) - np.repeat(np.cumsum(b - a) - (b - a), b - a) + a[own]
-            r, place, s = index.members(queries, (own, at), k, floor)
-            if not len(r):
-                continue
-            row, found, score = np.concatenate([row, r]), np.concatenate([found, ids[place]]), np.concatenate([score, s])
+            row, place, score = index.members(queries, (own, at), k, floor)
+            more.append((row, ids[place], score))
+            if n < len(self.blocks) and 2 * sum(len(x[0]) for x in more) < k * len(qids):
+                continue  # the floor would hardly rise
+            row, found, score = (np.concatenate(x) for x in zip(best, *more))
             order = np.lexsort((found, -score, row))
             row, found, score = row[order], found[order], score[order]
             starts = np.flatnonzero(np.diff(row, prepend=-1))
             rank = np.arange(len(row)) - np.repeat(starts, np.diff(np.append(starts, len(row))))
-            row, found, score, rank = (x[rank < k] for x in (row, found, score, rank))
-            last = rank == k - 1
+            best, last, more = tuple(x[rank < k] for x in (row, found, score)), rank == k - 1, []
             floor[row[last]] = _below(score[last], np.float64)
-        return row, found, score
+        return best
 
 
 def _packed(ids: np.ndarray, vectors: np.ndarray) -> bytes:
